@@ -14,6 +14,7 @@ Defined results: null and empty texts are one piece of the end id; repeated rows
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -26,28 +27,59 @@ from .common import narrow, small_batches, texts_of
 
 CAPACITY, END, OPEN = 4096, 2, 512
 #: Words kept with their ids in a worker; longer words are encoded each time.
-WORDS, WORD_CHARS = 400_000, 48
+WORDS, WORD_CHARS = 800_000, 48
 #: Characters that str.split() takes for white space and the vocabulary's pattern does not.
 _ODD = re.compile("[\x1c-\x1f]")
+#: Letters that str.lower() treats otherwise than the normaliser, which looks at single characters.
+_CASE = re.compile("[\u03a3\u0130]")
+#: Letters and then marks of ASCII; an apostrophe may join what follows, so it is not among them.
+_MARKS = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
 
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level vocabularies write bytes with: printable Latin-1 as itself, the rest from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
+
+
 class Encoder(dict):
-    """word -> its ids as little-endian unsigned 32-bit bytes."""
+    """word -> its ids as little-endian unsigned 32-bit bytes.
+
+    A word of letters is encoded by the vocabulary's model alone, lower-cased; a word of letters before marks is that word's ids and the
+    marks'; all else goes through the whole tokenizer.  The outcome is the tokenizer's in each case.
+    """
 
     def __init__(self, path: str) -> None:
         super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.end = np.array([END], "<u4").tobytes()
 
     def raw(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _letters(self, word: str) -> bytes | None:
+        """Ids of a word that the normaliser only lower-cases and the pre-tokeniser leaves whole."""
+        if not word.isalpha() or not (word.isascii() or (unicodedata.is_normalized("NFC", word) and not _CASE.search(word))):
+            return None
+        low = word.lower()
+        if low != word:
+            return self[low]
+        coded = word if word.isascii() else word.encode().decode("latin-1").translate(_LETTERS)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(coded)])
+
     def __missing__(self, word: str) -> bytes:
-        ids = self.raw(word)
+        if (ids := self._letters(word)) is None:
+            cut = _MARKS.fullmatch(word)
+            ids = self[cut[1]] + self[cut[2]] if cut else self.raw(word)
         if len(word) <= WORD_CHARS:
             self[word] = ids
         return ids
@@ -60,6 +92,16 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, text.split())) + self.end
 
 
+#: One encoder per worker process and vocabulary, so that tasks that follow each other share its words.
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 class Packer:
     """Pieces are (doc_id, start, ids, doc_tokens); closed windows come out of ``closed`` as lists of pieces."""
 
@@ -140,7 +182,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame
     """One row per piece: its document, place there, length, checksum of its ids, sequence and place there."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer = Encoder(tokenizer), Packer(capacity)
+        own, packer = encoder(tokenizer), Packer(capacity)
         sequence = TaskContext.get().partitionId() << 36
 
         def rows() -> pa.RecordBatch:
@@ -158,7 +200,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame
 
         for batch in small_batches(batches):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch), strict=True):
-                packer.add(doc_id, encoder.ids(text))
+                packer.add(doc_id, own.ids(text))
             if packer.closed:
                 yield rows()
         packer.finish()
