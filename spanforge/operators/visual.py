@@ -56,8 +56,10 @@ def detect_faces(frames: DataFrame, load: Callable[[], Callable[[bytes], tuple[i
             detector = fallback()
         for pdf in parts:
             found = [detector(bytes(c)) if c is not None else None for c in pdf["content"]]
-            ok = [f is not None for f in found]
             kept = [f for f in found if f is not None]
+            if not kept:
+                continue
+            ok = [f is not None for f in found]
             names = ("x1", "y1", "x2", "y2", "conf")
             yield pdf[ok].drop(columns="content").assign(height=[f[0] for f in kept], width=[f[1] for f in kept], boxes=[[dict(zip(names, map(float, b), strict=True)) for b in f[2]] for f in kept])
 
