@@ -80,19 +80,37 @@ class Model:
 
 
 def _matrix(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, bucket and value of the sparse matrix that turns bucket scores into text averages."""
+    """Row, bucket and value of the sparse matrix that turns bucket scores into text averages.
+
+    A vector is learned for a bucket that LEAST or more words of texts hold, rarer ones only tell single texts apart; so
+    only those have entries.  They are laid out a slice at a time, to hold no more than the result.
+    """
     parts = [words_in(t) for t in texts]
     vocabulary: dict[str, int] = {}
     ids = np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for p in parts for w in p), np.int64)
     doc = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+    del parts
     pair, counts = np.unique(doc * max(len(vocabulary), 1) + ids, return_counts=True)
     doc, word = pair // max(len(vocabulary), 1), pair % max(len(vocabulary), 1)
-    share = counts / np.bincount(doc, counts, len(parts))[doc]
-    grams, per_word = ngrams(list(vocabulary))
+    share = counts / np.bincount(doc, counts, len(texts))[doc]
+    del pair, ids, counts
+    grams, total = ngrams(list(vocabulary))
+    grams = grams.astype(np.int32)
+    held_by = np.repeat(np.bincount(word, minlength=len(total)), total)
+    common = (np.bincount(grams, held_by, BUCKETS) >= LEAST)[grams]
+    per_word = np.bincount(np.repeat(np.arange(len(total)), total)[common], minlength=len(total))
+    grams = grams[common]
+    del held_by, common
     first = np.cumsum(per_word) - per_word
-    n = per_word[word]
-    inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    return np.repeat(doc, n).astype(np.int32), grams[np.repeat(first[word], n) + inside].astype(np.int32), np.repeat(GAIN * share / np.maximum(n, 1), n).astype(np.float32)
+    rows, buckets, values = [], [], []
+    for i in range(0, len(word), 100_000):
+        w, n = word[i : i + 100_000], per_word[word[i : i + 100_000]]
+        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        rows.append(np.repeat(doc[i : i + 100_000].astype(np.int32), n))
+        buckets.append(grams[np.repeat(first[w], n) + inside])
+        values.append(np.repeat((GAIN * share[i : i + 100_000] / np.maximum(total[w], 1)).astype(np.float32), n))
+    none = [np.zeros(0, np.int32)]
+    return np.concatenate(rows or none), np.concatenate(buckets or none), np.concatenate(values or none).astype(np.float32)
 
 
 def _calibrate(logit: np.ndarray, y: np.ndarray, base_rate: float) -> tuple[float, float]:
@@ -119,13 +137,14 @@ def fit(sample: list[tuple[str, int]], base_rate: float, seed: int = 42) -> Mode
         return Model(np.zeros(BUCKETS), odds)
     doc, gram, value = _matrix([t for t, _ in sample])
     held &= bool(0 < y[held].sum() < held.sum())
-    # a vector is learned for a bucket that LEAST or more words of texts hold; rarer ones only tell single texts apart
-    common = np.bincount(gram, minlength=BUCKETS) >= LEAST
-    use = common[gram] & ~held[doc]
-    used, local = np.unique(gram[use], return_inverse=True)
-    doc_n, doc_value = doc[use], value[use]
-    by_gram = np.argsort(local, kind="stable")
+    use = ~held[doc]
+    used = np.unique(gram[use])
+    place = np.zeros(BUCKETS, np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
+    local, doc_n, doc_value = place[gram[use]], doc[use], value[use]
+    by_gram = np.argsort(local, kind="stable").astype(np.int32)
     gram_doc, gram_value, gram_n = doc_n[by_gram], doc_value[by_gram], np.bincount(local, minlength=len(used))
+    del by_gram, use
     weight = np.where(held, 0, np.where(y == 1, 0.5 / y[~held].sum(), 0.5 / (1 - y[~held]).sum()))
     rng = np.random.default_rng(seed)
     params = [rng.normal(0, 0.1, (len(used), WIDTH)), rng.normal(0, 0.5, WIDTH), np.zeros(1)]
