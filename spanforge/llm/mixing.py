@@ -23,7 +23,7 @@ from .common import cut, narrow, words_of
 
 #: Weights of the sources in code-point order, repeating; share of all words that the mix holds; most a source is repeated.
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2.0
-GROUP = 20_000
+GROUP = 2_000
 #: Source tables up to this many rows are broadcast; larger ones are joined by shuffle.
 BROADCAST_SOURCES = 20_000
 _EPS = 1e-9
