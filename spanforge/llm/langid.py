@@ -25,6 +25,8 @@ from .word_table import WordTable, flat_codes, mix
 
 ORDER, DISCOUNT, ALPHABET = 4, 0.75, 1 << 16
 PER_LANGUAGE, ALL_LANGUAGES = 400, 4000
+#: Tables of languages up to this many rows are broadcast; larger ones are joined by shuffle.
+BROADCAST_LANGUAGES = 10_000
 #: A calibration text is rejected with about this probability.
 REJECT = 0.005
 UNKNOWN = "und"
@@ -159,7 +161,9 @@ def train(docs: DataFrame, modulus: int = 3, remainder: int = 1) -> Model:
     """Fit on at most PER_LANGUAGE texts a language, and ALL_LANGUAGES texts in all, picked by a hash of the id."""
     own = narrow(docs, "doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id"), modulus, remainder) & (F.length("text") <= MAX_LEARN_CHARS))
     languages = own.groupBy("lang").agg(F.count("*").alias("n"))
-    per = max(1, min(PER_LANGUAGE, ALL_LANGUAGES // max(1, languages.count())))
+    kinds = languages.count()
+    per = max(1, min(PER_LANGUAGE, ALL_LANGUAGES // max(1, kinds)))
+    languages = F.broadcast(languages) if kinds <= BROADCAST_LANGUAGES else languages
     # ids first, so that no text is shuffled; the pre-cut by hash keeps a language's window at a few times `per` rows
     cut_off = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) * F.col("n") < F.lit(4.0 * per * (1 << 20))
     ranked = own.select("lang", "doc_id").join(languages, "lang").where(cut_off | (F.col("n") <= 16 * per))
