@@ -2,4 +2,16 @@
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+from . import sharding
+
+#: A bucket of k bits holds all rows with these leading bits; a row's shard is the shortest prefix whose bucket fits.  24 bits are
+#: enough for tables of which SQL is asked.
+_SHARDING = f"""
+WITH d AS (SELECT doc_id, strlen(coalesce(text, '')) AS n_bytes, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 15) AS BIGINT) AS hash FROM documents),
+b AS (SELECT doc_id, n_bytes, hash, k, hash >> ({sharding.HASH_BITS} - k) AS node FROM d, (SELECT unnest(range(0, 25)) AS k)),
+s AS (SELECT k, node, CAST(sum(n_bytes) AS BIGINT) AS shard_bytes FROM b GROUP BY k, node HAVING sum(n_bytes) <= {sharding.LIMIT}),
+m AS (SELECT doc_id, n_bytes, hash, min(k) AS bits, arg_min(shard_bytes, k) AS shard_bytes FROM b JOIN s USING (k, node) GROUP BY doc_id, n_bytes, hash)
+SELECT doc_id, n_bytes, hash, substr(lpad(bin(hash), {sharding.HASH_BITS}, '0'), 1, CAST(bits AS INTEGER)) AS shard, CAST(bits AS INTEGER) AS bits, shard_bytes FROM m
+"""
+
+ORACLE_SQL: dict[str, str] = {"op4_sharding": _SHARDING}
