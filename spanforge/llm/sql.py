@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import sharding
+from . import line_dedup, quality_rules, sharding
 
 #: A bucket of k bits holds all rows with these leading bits; a row's shard is the shortest prefix whose bucket fits.  24 bits are
 #: enough for tables of which SQL is asked.
@@ -14,4 +14,69 @@ m AS (SELECT doc_id, n_bytes, hash, min(k) AS bits, arg_min(shard_bytes, k) AS s
 SELECT doc_id, n_bytes, hash, substr(lpad(bin(hash), {sharding.HASH_BITS}, '0'), 1, CAST(bits AS INTEGER)) AS shard, CAST(bits AS INTEGER) AS bits, shard_bytes FROM m
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_sharding": _SHARDING}
+#: A list of a text's words, and whether a line has one.
+_WORDS = r"list_filter(regexp_split_to_array({0}, '[\x20\x09-\x0D]+'), lambda y: y <> '')"
+_HAS_WORD = r"regexp_matches({0}, '[^\x20\x09-\x0D]')"
+
+
+def _scope(keys: list[str]) -> str:
+    """Limits per group of keys and rate: quantiles are lower edges of buckets."""
+    by = ", ".join([*keys, "rate"])
+    at = ", ".join(f"min(edge) FILTER (WHERE seen * 100 >= texts * {q}) AS q{q}" for q in (25, 50, 75))
+    least = " ".join(f"WHEN '{k}' THEN {v}" for k, v in quality_rules.RATES.items())
+    return f"""SELECT {by}, texts, q75 + {quality_rules.FENCE} * greatest(q75 - q50, q50 - q25, CASE rate {least} END) AS most FROM (
+  SELECT {by}, any_value(texts) AS texts, {at} FROM (
+    SELECT *, sum(n) OVER (PARTITION BY {by} ORDER BY edge) AS seen, sum(n) OVER (PARTITION BY {by}) AS texts FROM (
+      SELECT {by}, edge, count(*) AS n FROM buckets GROUP BY {by}, edge)) GROUP BY {by})"""
+
+
+_RATES = {"symbol_rate": "n_symbols * 1000 // n_words", "line_rate": "n_dup_lines * 1000 // n_words", "repeat_rate": "n_repeat_words * 1000 // n_words", "length_rate": "word_chars * 100 // n_words"}
+_LONG = " UNION ALL ".join(f"SELECT lang, source, '{k}' AS rate, {v} AS v FROM m WHERE n_words > 0" for k, v in _RATES.items())
+_STEP = f"greatest(length(bin(v)) - {quality_rules.BITS}, 0)"
+_WINDOW = " || ' ' || ".join(["x", *[f"lead(x, {i}) OVER o" for i in range(1, quality_rules.WINDOW)]])
+_OFF = " OR ".join(f"coalesce({v} > max_{k}, false)" for k, v in _RATES.items())
+_QUALITY = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS k, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+w AS MATERIALIZED (SELECT k, {_WORDS.format('text')} AS ws, list_filter(string_split(text, chr(10)), lambda y: {_HAS_WORD.format('y')}) AS ls FROM d),
+u AS (SELECT k, unnest(ws) AS x, generate_subscripts(ws, 1) AS i FROM w),
+g AS (SELECT k, i, {_WINDOW} AS run FROM u WINDOW o AS (PARTITION BY k ORDER BY i)),
+t AS (SELECT k, i FROM (SELECT k, i, count(*) OVER (PARTITION BY k, run) AS n FROM g WHERE run IS NOT NULL) WHERE n > 1),
+r AS (SELECT k, CAST(sum(least({quality_rules.WINDOW}, coalesce(following - i, {quality_rules.WINDOW}))) AS BIGINT) AS repeats FROM (SELECT k, i, lead(i) OVER (PARTITION BY k ORDER BY i) AS following FROM t) GROUP BY k),
+m AS MATERIALIZED (
+  SELECT doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, coalesce(repeats, 0) AS n_repeat_words
+  FROM d JOIN w USING (k) LEFT JOIN r USING (k)),
+buckets AS MATERIALIZED (SELECT lang, source, rate, (v >> {_STEP}) << {_STEP} AS edge FROM ({_LONG})),
+own AS ({_scope(['lang', 'source'])}),
+by_lang AS ({_scope(['lang'])}),
+everywhere AS ({_scope([])}),
+limits AS (
+  SELECT o.lang, o.source, o.rate, CASE WHEN o.texts >= {quality_rules.MIN_GROUP} THEN o.most WHEN l.texts >= {quality_rules.MIN_GROUP} THEN l.most ELSE e.most END AS most
+  FROM own o JOIN by_lang l ON o.lang IS NOT DISTINCT FROM l.lang AND o.rate = l.rate JOIN everywhere e ON o.rate = e.rate),
+z AS (SELECT lang, source, {', '.join(f"max(most) FILTER (WHERE rate = '{k}') AS max_{k}" for k in _RATES)} FROM limits GROUP BY lang, source),
+v AS (SELECT m.*, z.* EXCLUDE (lang, source), n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words AS base_failed
+  FROM m LEFT JOIN z ON m.lang IS NOT DISTINCT FROM z.lang AND m.source IS NOT DISTINCT FROM z.source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, CASE WHEN base_failed THEN false ELSE NOT ({_OFF}) END AS kept FROM v
+"""
+
+#: Lines of a document with a word are numbered j.  Every shortest run of enough words from a line on, and up to a line, is spelt out;
+#: where its text occurs earlier (by doc_id, then line), the run's lines go.
+_LINE_DEDUP = f"""
+WITH n AS MATERIALIZED (SELECT doc_id, text, dense_rank() OVER (ORDER BY doc_id NULLS LAST, text NULLS LAST) AS k FROM documents),
+every AS MATERIALIZED (SELECT k, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS place FROM (SELECT DISTINCT k, text FROM n)),
+c AS MATERIALIZED (
+  SELECT *, sum(words) OVER (PARTITION BY k ORDER BY j) AS upto FROM (
+    SELECT k, place, x, row_number() OVER (PARTITION BY k ORDER BY place) AS j, len({_WORDS.format('x')}) AS words FROM every WHERE {_HAS_WORD.format('x')})),
+spans AS MATERIALIZED (SELECT s.k, s.j AS lo, e.j AS hi FROM c s JOIN c e ON s.k = e.k AND e.j >= s.j AND e.j < s.j + {line_dedup.MIN_WORDS} AND e.upto - s.upto + s.words >= {line_dedup.MIN_WORDS}),
+r AS (SELECT k, lo, min(hi) AS hi FROM spans GROUP BY k, lo UNION SELECT k, max(lo) AS lo, hi FROM spans GROUP BY k, hi),
+t AS (SELECT r.k, lo, hi, string_agg(x, chr(10) ORDER BY j) AS run FROM r JOIN c ON r.k = c.k AND j >= lo AND j <= hi GROUP BY r.k, lo, hi),
+f AS (SELECT k, lo, hi FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY k, lo) AS copy FROM t) WHERE copy > 1),
+g AS MATERIALIZED (SELECT DISTINCT c.k, place, words FROM f JOIN c ON f.k = c.k AND j >= lo AND j <= hi),
+h AS (SELECT k, count(*) AS n_deleted, CAST(sum(words) AS BIGINT) AS gone_words, string_agg(CAST(place AS VARCHAR), ',' ORDER BY place) AS deleted_lines FROM g GROUP BY k),
+rest AS (SELECT k, string_agg(x, chr(10) ORDER BY place) AS text FROM every ANTI JOIN g USING (k, place) GROUP BY k)
+SELECT n.doc_id, CASE WHEN n.text IS NULL THEN NULL WHEN h.k IS NULL THEN n.text ELSE coalesce(rest.text, '') END AS text,
+  coalesce(n_deleted, 0) AS n_deleted, coalesce(gone_words, 0) AS gone_words, coalesce(deleted_lines, '') AS deleted_lines
+FROM n LEFT JOIN h ON n.k = h.k LEFT JOIN rest ON n.k = rest.k
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": _QUALITY, "op4_sharding": _SHARDING, "op5_line_dedup": _LINE_DEDUP}
