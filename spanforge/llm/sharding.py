@@ -40,12 +40,17 @@ def _lead(bits: int) -> Column:
 
 def _leaves(cells: DataFrame, depth: int, least: int, limit: int) -> DataFrame:
     """cell -> depth and bytes of the bucket it falls in, between `least` and `depth` bits; a cell that never fits has depth null."""
-    nodes = cells.select("cell", "bytes", F.explode(F.sequence(F.lit(least), F.lit(depth))).alias("bits"))
-    sums = nodes.groupBy("bits", F.expr(f"shiftright(cell, {depth} - bits)").alias("node")).agg(F.sum("bytes").alias("bucket_bytes"))
-    fit = sums.where(F.col("bucket_bytes") <= limit)
-    at = nodes.withColumn("node", F.expr(f"shiftright(cell, {depth} - bits)")).join(fit, ["bits", "node"], "left")
-    best = F.min(F.when(F.col("bucket_bytes").isNotNull(), F.struct("bits", "bucket_bytes"))).alias("best")
-    return at.groupBy("cell").agg(best, F.max("bytes").alias("bytes")).select("cell", F.col("best.bits").alias("bits"), F.col("best.bucket_bytes").alias("bucket_bytes"), "bytes")
+    node = F.expr(f"shiftright(cell, {depth} - bits)").alias("node")
+    levels = lambda lowest: cells.select("cell", "bytes", F.explode(F.sequence(F.lit(lowest), F.lit(depth))).alias("bits"))
+    sums = cut(levels(least).groupBy("bits", node).agg(F.sum("bytes").alias("bucket_bytes")))
+    # a bucket fits while its parent, which has two children at most, does not
+    split = sums.where(F.col("bucket_bytes") > limit).select((F.col("bits") + 1).alias("bits"), F.col("node").alias("parent"))
+    fit = sums.where(F.col("bucket_bytes") <= limit).withColumn("parent", F.expr("shiftright(node, 1)"))
+    buckets = cut(fit.where(F.col("bits") == least).unionByName(fit.where(F.col("bits") > least).join(split, ["bits", "parent"], "left_semi").select(*fit.columns)).drop("parent"))
+    # cells look for their bucket only at levels that have one; the levels above, of few and large nodes, are not shuffled
+    lowest = buckets.agg(F.min("bits")).first()[0]
+    found = levels(depth if lowest is None else lowest).select("cell", "bits", node).join(buckets, ["bits", "node"]).select("cell", "bits", "bucket_bytes")
+    return cells.join(found, "cell", "left").select("cell", "bits", "bucket_bytes", "bytes")
 
 
 def assign(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
