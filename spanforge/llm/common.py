@@ -33,6 +33,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def counted_join(rows: DataFrame, counts: DataFrame, keys: list[str]) -> DataFrame:
+    """Join rows with counts, which has one row per key and n, the number of rows with that key.
+
+    A key that holds more than a quarter of an even partition's share is broadcast: by arithmetic there are at most
+    four times as many of those as shuffle partitions, whatever the data.  All other keys are joined by shuffle.
+    """
+    counts = cut(counts)
+    most = rows.count() // (4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    hot, cold = F.broadcast(counts.where(F.col("n") > most)), counts.where(F.col("n") <= most)
+    few = rows.join(hot, keys)
+    return few.unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(cold, keys))
+
+
 def words_of(text: Column) -> Column:
     """The words `[^\\x20\\x09-\\x0D]+` of a text, in order; null text has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_BREAK), "")

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, narrow, row_key, words_of
+from .common import counted_join, cut, narrow, row_key, words_of
 
 MIN_WORDS = 50
 #: Deletion lists up to this many documents are broadcast; longer ones are joined by shuffle.
@@ -96,9 +96,9 @@ def copies(found: DataFrame, min_words: int) -> DataFrame:
         # runs of 2^k to 2^(k+1) - 1 lines: suffixes that agree in both ranks form one interval
         own = wanted.where((F.col("m") >= 1 << k) & (F.col("m") < 2 << k))
         tail = rank.select(F.col("p").alias("q"), F.col("r").alias("t"))
-        named = own.join(rank, "p").withColumn("q", F.col("p") + F.col("m") - (1 << k)).join(tail, "q").select("p", "m", "r", "t")
+        named = cut(own.join(rank, "p").withColumn("q", F.col("p") + F.col("m") - (1 << k)).join(tail, "q").select("p", "m", "r", "t"))
         first = named.groupBy("m", "r", "t").agg(F.min("p").alias("first"), F.count("*").alias("n")).where("n > 1")
-        later = named.join(first, ["m", "r", "t"]).where("p > first").select(F.explode(F.expr("sequence(p, p + m - 1)")).alias("p"))
+        later = counted_join(named, first, ["m", "r", "t"]).where("p > first").select(F.explode(F.expr("sequence(p, p + m - 1)")).alias("p"))
         hits = later if hits is None else hits.union(later)
         k += 1
         if (1 << k) > longest:
