@@ -24,8 +24,6 @@ from pyspark.sql import functions as F
 from .common import counted_join, cut, narrow, row_key, words_of
 
 MIN_WORDS = 50
-#: Deletion lists of up to this many documents and places together (some 6 MB) are broadcast; longer ones are joined by shuffle.
-BROADCAST_PLACES = 100_000
 
 _DOC = ["no_id", "doc_id", "key_a", "key_b"]
 
@@ -119,9 +117,8 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def apply(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """document (all its columns), text without its later copies, gone, gone_words."""
+    # the lists grow with the corpus, so they meet the texts by shuffle at every size
     lost = cut(deletions(docs, min_words))
-    entries = lost.agg(F.sum(F.size("gone") + 1)).first()[0] or 0
-    lost = F.broadcast(lost) if entries <= BROADCAST_PLACES else lost
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")).withColumns({c: F.col(f"document.{c}") for c in ("doc_id", "text")})
     joined = whole.select("document", "text", *row_key()).join(lost, ["key_a", "key_b"], "left")
     # both lists are in order, so one pass over the deleted places cuts the kept stretches between them
