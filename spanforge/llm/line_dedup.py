@@ -120,7 +120,8 @@ def apply(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     # the lists grow with the corpus, so they meet the texts by shuffle at every size
     lost = cut(deletions(docs, min_words))
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")).withColumns({c: F.col(f"document.{c}") for c in ("doc_id", "text")})
-    joined = whole.select("document", "text", *row_key()).join(lost, ["key_a", "key_b"], "left")
+    # the text goes through the shuffle once, inside its document
+    joined = whole.select("document", *row_key()).join(lost, ["key_a", "key_b"], "left").withColumn("text", F.col("document.text"))
     # both lists are in order, so one pass over the deleted places cuts the kept stretches between them
     all_lines = F.split("text", "\n")
     bounds = F.concat(F.array(F.lit(-1)), "gone", F.array(F.size(all_lines)))
