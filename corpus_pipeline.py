@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanforge.llm import line_dedup, mixing, packing, quality_rules, simhash
+from spanforge.llm import line_dedup, mixing, near_copies, packing, quality_rules
 from spanforge.llm.common import checkpoint_dir
 from spanforge.llm.queries import tokenizer_path
 
@@ -26,8 +26,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, the one with the smallest doc_id."""
-    return simhash.keep(docs)
+    """One document of each group of near copies (five-word shingles, Jaccard 0.8 or more), the one with the smallest doc_id."""
+    return near_copies.keep(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -220,13 +220,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep(docs: DataFrame) -> DataFrame:
     """The documents with one left of each component: the smallest doc_id, of rows that share it the one with the least key."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
     keyed = narrow(docs, "doc_id", "text").select("doc_id", "text", *row_key())
     prints = cut(fingerprints(keyed, "doc_id", "key_a", "key_b"))
+    return first_of(docs, prints.join(components(prints), "fp"))
+
+
+def first_of(docs: DataFrame, rooted: DataFrame) -> DataFrame:
+    """The first document of each root by smallest doc_id, then least key; rooted has doc_id, key_a, key_b and root."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key_a", "key_b")).alias("first")
-    stay = prints.join(components(prints), "fp")
     # partial minima come before the shuffle, so a large component is no large group
-    winners = stay.groupBy("root").agg(first).select("first.key_a", "first.key_b").distinct()
+    winners = rooted.groupBy("root").agg(first).select("first.key_a", "first.key_b").distinct()
     whole = docs.select(F.struct(*columns).alias("document")).withColumns({c: F.col(f"document.{c}") for c in ("doc_id", "text")}).select("document", *row_key())
     found = whole.join(winners, ["key_a", "key_b"], "left_semi")
     nth = F.row_number().over(Window.partitionBy("key_a", "key_b").orderBy(F.lit(1)))

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from spanforge.llm import langid, line_crf, line_dedup, media_audio, mixing, packing, quality_rules, sharding, simhash, toxicity
+from spanforge.llm import langid, line_crf, line_dedup, media_audio, mixing, near_copies, packing, quality_rules, sharding, simhash, toxicity
 from spanforge.llm.queries import tokenizer_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -430,3 +430,40 @@ def test_copies_of_a_third_of_all_rows(spark, texts):
     df = spark.createDataFrame([(i, texts[0] if i % 3 else texts[i % 40], "en", "s", 0) for i in range(300)] + [(7, texts[0], "en", "s", 0)] * 100, SCHEMA)
     assert simhash.keep(df).count() == len(set(brute_components({brute_fingerprint(texts[i % 40]) for i in range(300)} | {brute_fingerprint(texts[0])}).values()))
     assert mixing.taken(df).count() == 400 and line_dedup.dedup(df).count() == 400 and sharding.assign(df, 2000).count() == 400
+
+
+def brute_near_copies(texts):
+    """Components of texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more."""
+    sets = []
+    for t in texts:
+        w = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    root = list(range(len(texts)))
+    for j, i in itertools.combinations(range(len(texts)), 2):
+        if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) and root[i] != root[j]:
+            root = [root[j] if r == root[i] else r for r in root]
+    return root
+
+
+@pytest.mark.parametrize("few", [near_copies.FEW, 1])
+def test_near_copies_between_080_and_095(spark, monkeypatch, few):
+    import corpus_pipeline
+
+    monkeypatch.setattr(near_copies, "FEW", few)
+    rng = random.Random(11)
+    texts = []
+    for _ in range(12):
+        words = prose(rng, 300).split()
+        texts.append(" ".join(words))
+        for changes in (1, 4, 5, 6, 14, 20, 30):  # similarities from 0.97 down to below 0.4
+            other = list(words)
+            for k in range(changes):
+                other[10 + k * (280 // changes)] = f"new{rng.random()}"
+            texts.append(" ".join(other))
+    texts += [texts[0].upper(), texts[8] + " end"]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], SCHEMA).repartition(3)
+    roots = brute_near_copies(texts)
+    kept = [r.doc_id for r in corpus_pipeline.near(spark, df, "").collect()]
+    assert sorted(kept) == sorted({roots.index(r) for r in roots})
+    odd = spark.createDataFrame([], ODD)
+    assert near_copies.keep(odd).columns == odd.columns and near_copies.keep(odd).count() == 0
