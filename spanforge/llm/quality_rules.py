@@ -5,7 +5,9 @@ text holds twice.  Beyond them, four rates are compared with limits learned from
 quantile sketch per rate, a histogram over buckets of bounded relative width, which merges by adding counts.  Sketches of a
 source with few texts are merged into the language's, and that into the corpus's.  The limit of a rate is its upper quartile
 plus FENCE times the spread between median and quartiles, but at least a least spread, so that only texts far off
-the bulk of their own kind are rejected, however that kind writes.
+the bulk of their own kind are rejected, however that kind writes.  Where over a quarter of a group is junk, its upper quartile is
+junk too; so no limit lies further than 2 * FENCE times the spread below the median (or the least spread) above the median,
+which holds as long as no more than half of a group is junk.
 
 Defined results: null or empty text has no words and fails the base rules; a null lang or source is a group of its own; equal
 rows get equal results; an empty table gives an empty table; extra columns are ignored by ``score`` and kept by ``keep``.
@@ -119,7 +121,7 @@ def _limits(sketch: DataFrame, keys: list[str]) -> DataFrame:
 
     least = F.element_at(F.create_map(*[x for k, v in RATES.items() for x in (F.lit(k), F.lit(v).cast("bigint"))]), F.col("rate"))
     low, mid, high = quantile(0.25), quantile(0.5), quantile(0.75)
-    limit = high + FENCE * F.greatest(high - mid, mid - low, least)
+    limit = F.least(high + FENCE * F.greatest(high - mid, mid - low, least), mid + 2 * FENCE * F.greatest(mid - low, least))
     return whole.select(*keys, "rate", "texts", limit.alias("limit"))
 
 

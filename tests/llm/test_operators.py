@@ -75,6 +75,15 @@ def test_quality_limits_reject_outliers(spark):
     assert kept == set(range(150))
 
 
+@pytest.mark.parametrize("percent", [26, 30, 40, 50])
+def test_quality_limits_hold_in_dirty_sources(spark, percent):
+    rng = random.Random(2)
+    junk = 150 * percent // (100 - percent)
+    texts = [prose(rng, 60) for _ in range(150)] + [" ".join(f"{w}***" if k % 3 else w for k, w in enumerate(prose(rng, 60).split())) for _ in range(junk)]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], SCHEMA)
+    assert {r.doc_id for r in quality_rules.keep(df).collect()} == set(range(150))
+
+
 def test_sketch_buckets(spark):
     values = [0, 1, 63, 64, 65, 127, 128, 1000, 123_456_789]
     df = spark.createDataFrame([(v,) for v in values], "v bigint")
