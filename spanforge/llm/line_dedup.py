@@ -8,9 +8,10 @@ A run counts when it holds MIN_WORDS words or more.  From each line on there is
 any longer repeated run is the union of such runs inside it.  The suffixes that share a run's lines are an interval of the suffix
 array with a common prefix of that length; the run of m lines with 2^k <= m is known by its rank of 2^k lines at its start and that at its end less 2^k.  Where an
 interval's first place lies before a run, the run is a later copy and its lines are deleted; overlapping runs make up the maximal repeated
-run.  A run of MIN_WORDS words has at most MIN_WORDS lines with a word, so doubling ends after log2(MIN_WORDS) rounds at most.
+run.  The array is therefore bounded on purpose: it sorts suffixes by as many lines as the longest shortest run has, which is MIN_WORDS at most,
+and doubling ends after log2(MIN_WORDS) rounds; ranks of a run's two ends stand for the intervals of longer common prefixes.
 
-Order is by doc_id (null last), then a hash of the text, then line.  Blank lines are never deleted and do not break a run.
+Order is by doc_id (null last), then the text's md5, then line.  Blank lines are never deleted and do not break a run.
 
 Defined results: null text stays null; repeated rows (same doc_id and text) are one document, and all get its result; a document all of
 whose lines are copies is left with an empty text or its blank lines; an empty table gives an empty table; extra columns are kept.
@@ -18,52 +19,46 @@ whose lines are copies is left with an empty text or its blank lines; an empty t
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import counted_join, cut, narrow, row_key, words_of
+from .common import counted_join, cut, narrow, nested, running, words_of
 
 MIN_WORDS = 50
 
 _DOC = ["no_id", "doc_id", "key_a", "key_b"]
 
 
+def keyed(rows: DataFrame) -> DataFrame:
+    """Replace doc_id by the key of its document, in whose order documents come: id, null last, then the 120 leading bits of the text's md5."""
+    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    bits = lambda at: F.conv(F.substring(digest, at, 15), 16, 10).cast("bigint")
+    others = [c for c in rows.columns if c != "doc_id"]
+    return rows.select(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), bits(1).alias("key_a"), bits(16).alias("key_b"), *others)
+
+
 def lines(docs: DataFrame) -> DataFrame:
     """The lines with a word of every distinct document: its key, line (place among them), at (place in the text), hash, words."""
-    own = narrow(docs, "doc_id", "text").where(F.col("text").isNotNull())
-    split = own.select(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), *row_key(), F.split("text", "\n").alias("all"))
+    own = keyed(narrow(docs, "doc_id", "text").where(F.col("text").isNotNull()))
+    split = own.select(*_DOC, F.split("text", "\n").alias("all"))
     # the place among lines with a word is counted inside the row, before anything is exploded
     worded = F.filter(F.transform("all", lambda x, i: F.struct(i.alias("at"), x.alias("x"))), lambda s: s["x"].rlike(r"[^\x20\x09-\x0D]"))
     each = split.select(*_DOC, F.posexplode(worded).alias("line", "s"))
     return each.select(*_DOC, "line", F.col("s.at").alias("at"), F.xxhash64(F.lit(3), "s.x").alias("h1"), F.xxhash64("s.x", F.lit(5)).alias("h2"), F.size(words_of(F.col("s.x"))).alias("words")).distinct()
 
 
-def running(df: DataFrame, keys: list[str], amount: str, name: str) -> DataFrame:
-    """Add the sum of `amount` over all rows that come before in the order of keys, over the whole cluster.
-
-    Rows are dealt by ranges of the keys; each range sums its own rows, and the ranges' totals (one row each) are added up.
-    """
-    n = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    dealt = cut(df.repartitionByRange(int(n), *keys).withColumn("_range", F.spark_partition_id()))
-    totals = dealt.groupBy("_range").agg(F.sum(amount).alias("_total"))
-    before = F.coalesce(F.sum("_total").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = F.broadcast(totals.select("_range", before.alias("_before")))  # one row per shuffle partition
-    inside = F.coalesce(F.sum(amount).over(Window.partitionBy("_range").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return dealt.withColumn("_inside", inside).join(offsets, "_range").withColumn(name, (F.col("_before") + F.col("_inside")).cast("bigint")).drop("_range", "_inside", "_before")
-
-
 def ranked(df: DataFrame, keys: list[str]) -> DataFrame:
     """keys and n of each distinct combination, with the number of rows in combinations before it as rank."""
-    return running(df.groupBy(*keys).agg(F.count("*").alias("n")), keys, "n", "rank")
+    return cut(running(df.groupBy(*keys).agg(F.count("*").alias("n")), keys, {"rank": "n"}))
 
 
 def suffixes(all_lines: DataFrame) -> DataFrame:
     """Suffixes that begin with a repeated line: p, a place in the whole sequence (gaps end a string), words and rank 0."""
-    repeated = ranked(all_lines.select("h1", "h2"), ["h1", "h2"]).where("n > 1").select("h1", "h2", F.col("rank").alias("r0"))
-    kept = all_lines.join(repeated, ["h1", "h2"])
+    repeated = ranked(all_lines.select("h1", "h2"), ["h1", "h2"]).where("n > 1").withColumnRenamed("rank", "r0")
+    kept = cut(counted_join(all_lines, repeated, ["h1", "h2"]).drop("n", "h1", "h2"))
     # documents get consecutive ranges of places in their order, with a gap after each
     sizes = kept.groupBy(*_DOC).agg((F.max("line") + 2).cast("bigint").alias("size"))
-    first = running(sizes, _DOC, "size", "first")
+    first = running(sizes, _DOC, {"first": "size"})
     return kept.join(first, _DOC).select(*_DOC, "at", (F.col("first") + F.col("line")).alias("p"), "words", "r0")
 
 
@@ -95,7 +90,7 @@ def copies(found: DataFrame, min_words: int) -> DataFrame:
         own = wanted.where((F.col("m") >= 1 << k) & (F.col("m") < 2 << k))
         tail = rank.select(F.col("p").alias("q"), F.col("r").alias("t"))
         named = cut(own.join(rank, "p").withColumn("q", F.col("p") + F.col("m") - (1 << k)).join(tail, "q").select("p", "m", "r", "t"))
-        first = named.groupBy("m", "r", "t").agg(F.min("p").alias("first"), F.count("*").alias("n")).where("n > 1")
+        first = cut(named.groupBy("m", "r", "t").agg(F.min("p").alias("first"), F.count("*").alias("n")).where("n > 1"))
         later = counted_join(named, first, ["m", "r", "t"]).where("p > first").select(F.explode(F.expr("sequence(p, p + m - 1)")).alias("p"))
         hits = later if hits is None else hits.union(later)
         k += 1
@@ -104,24 +99,27 @@ def copies(found: DataFrame, min_words: int) -> DataFrame:
         # prefix doubling: the pair of ranks, sorted, gives the rank by twice as many lines; no suffix there is the sentinel
         further = rank.select((F.col("p") - (1 << (k - 1))).alias("p"), F.col("r").alias("s"))
         pairs = cut(rank.join(further, "p", "left").select("p", "r", F.coalesce("s", F.lit(-1).cast("bigint")).alias("s")))
-        rank = cut(pairs.join(ranked(pairs, ["r", "s"]), ["r", "s"]).select("p", F.col("rank").alias("r")))
+        rank = cut(counted_join(pairs, ranked(pairs, ["r", "s"]), ["r", "s"]).select("p", F.col("rank").alias("r")))
     return found.select("p").limit(0) if hits is None else hits.distinct()
 
 
+def _text(docs: DataFrame) -> Column:
+    return F.col("document.text") if any(c.lower() == "text" for c in docs.columns) else F.lit(None).cast("string")
+
+
 def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """key_a, key_b, gone (places of deleted lines, in order), gone_words: one row per document that loses lines."""
+    """A document's key, gone (places of deleted lines, in order), gone_words: one row per document that loses lines."""
     found = cut(suffixes(cut(lines(docs))))
     lost = found.join(copies(found, min_words), "p")
-    return lost.groupBy("key_a", "key_b").agg(F.array_sort(F.collect_list("at")).alias("gone"), F.sum("words").alias("gone_words"))
+    return lost.groupBy(*_DOC).agg(F.array_sort(F.collect_list("at")).alias("gone"), F.sum("words").alias("gone_words"))
 
 
 def apply(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """document (all its columns), text without its later copies, gone, gone_words."""
     # the lists grow with the corpus, so they meet the texts by shuffle at every size
     lost = cut(deletions(docs, min_words))
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")).withColumns({c: F.col(f"document.{c}") for c in ("doc_id", "text")})
     # the text goes through the shuffle once, inside its document
-    joined = whole.select("document", *row_key()).join(lost, ["key_a", "key_b"], "left").withColumn("text", F.col("document.text"))
+    joined = keyed(nested(docs, "doc_id", "text")).drop("text").join(lost, _DOC, "left").withColumn("text", _text(docs))
     # both lists are in order, so one pass over the deleted places cuts the kept stretches between them
     all_lines = F.split("text", "\n")
     bounds = F.concat(F.array(F.lit(-1)), "gone", F.array(F.size(all_lines)))
@@ -134,4 +132,4 @@ def apply(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The documents with their later copies of line runs deleted, all columns as they were."""
     done = apply(docs, min_words)
-    return done.select(*[F.col("text") if c.lower() == "text" else F.col(f"document.`{c}`").alias(c) for c in docs.columns])
+    return done.select(*[F.col("text").alias(c) if c.lower() == "text" else F.col(f"document.`{c}`").alias(c) for c in docs.columns])
