@@ -5,27 +5,25 @@ its next bit, until all fit.  Rows are first counted into cells of as many bits
 splitting works on cells rather than rows; cells that are still too large are counted again with more bits, alone.
 
 A bucket that cannot be split further (equal hashes, or one row over the limit) becomes a chain of pages in order of id, each within
-the limit unless it holds a single row.
+the limit unless it holds a single row.  Its rows are put in order over the whole cluster, so many repeats of one row are no large group.
 
 Defined results: null text has no bytes; rows with null ids are sharded by their text; repeated rows share a hash and so a bucket or its
-pages; an empty table gives an empty table.
+pages; an empty table gives an empty table; ``write`` keeps all columns, whatever they are called.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, narrow
+from .common import counted_join, cut, fresh, narrow, nested, removed, running, scratch
 
 LIMIT = 1 << 20
 HASH_BITS = 60
 #: Bits of a cell beyond those of an even split, and bits added for cells that do not fit.
 SPARE, MORE = 5, 8
-#: Directories up to this many cells are broadcast; larger ones are joined by shuffle.
-BROADCAST_CELLS = 200_000
 
 
 def hash_of(doc_id: Column, text: Column) -> Column:
@@ -39,7 +37,7 @@ def _lead(bits: int) -> Column:
 
 
 def _leaves(cells: DataFrame, depth: int, least: int, limit: int) -> DataFrame:
-    """cell -> depth and bytes of the bucket it falls in, between `least` and `depth` bits; a cell that never fits has depth null."""
+    """cell, n, and depth and bytes of the bucket it falls in, between `least` and `depth` bits; a cell that never fits has depth null."""
     node = F.expr(f"shiftright(cell, {depth} - bits)").alias("node")
     levels = lambda lowest: cells.select("cell", "bytes", F.explode(F.sequence(F.lit(lowest), F.lit(depth))).alias("bits"))
     sums = cut(levels(least).groupBy("bits", node).agg(F.sum("bytes").alias("bucket_bytes")))
@@ -50,31 +48,37 @@ def _leaves(cells: DataFrame, depth: int, least: int, limit: int) -> DataFrame:
     # cells look for their bucket only at levels that have one; the levels above, of few and large nodes, are not shuffled
     lowest = buckets.agg(F.min("bits")).first()[0]
     found = levels(depth if lowest is None else lowest).select("cell", "bits", node).join(buckets, ["bits", "node"]).select("cell", "bits", "bucket_bytes")
-    return cells.join(found, "cell", "left").select("cell", "bits", "bucket_bytes", "bytes")
+    return cells.join(found, "cell", "left").select("cell", "n", "bits", "bucket_bytes")
 
 
-def assign(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """doc_id, n_bytes, hash, shard (its hash bits, and a page where a bucket is chained), bits, shard_bytes: one row per document."""
-    rows = cut(narrow(docs, "doc_id", "text").select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_bytes"), hash_of(F.col("doc_id"), F.col("text")).alias("hash")))
+def _sized(rows: DataFrame) -> DataFrame:
+    """Replace text by its bytes and the row's hash, and number the rows."""
+    kept = [c for c in rows.columns if c != "text"]
+    return rows.select(*kept, F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_bytes"), hash_of(F.col("doc_id"), F.col("text")).alias("hash"), F.monotonically_increasing_id().alias("uid"))
+
+
+def _placed(rows: DataFrame, limit: int) -> DataFrame:
+    """Add shard, bits and shard_bytes to stored rows of doc_id, n_bytes, hash and uid."""
     total = rows.agg(F.sum("n_bytes")).first()[0] or 0
     depth = min(HASH_BITS, max(1, math.ceil(math.log2(max(2, total / limit))) + SPARE))
     least, left, done = 0, rows, None
     while True:
-        cells = left.groupBy(_lead(depth).alias("cell")).agg(F.sum("n_bytes").alias("bytes"))
+        cells = left.groupBy(_lead(depth).alias("cell")).agg(F.sum("n_bytes").alias("bytes"), F.count("*").alias("n"))
         leaves = cut(_leaves(cells, depth, least, limit))
-        n = leaves.count()
-        small = F.broadcast(leaves) if n <= BROADCAST_CELLS else leaves
-        placed = left.withColumn("cell", _lead(depth)).join(small.drop("bytes"), "cell").drop("cell")
-        fits = placed.where(F.col("bits").isNotNull())
+        met = counted_join(left.withColumn("cell", _lead(depth)), leaves, ["cell"])
+        fits = _named(met.where(F.col("bits").isNotNull()))
         done = fits if done is None else done.unionByName(fits)
-        over = leaves.where(F.col("bits").isNull()).count()
-        if not over:
-            break
-        left = cut(placed.where(F.col("bits").isNull()).select("doc_id", "n_bytes", "hash"))
+        if leaves.where(F.col("bits").isNull()).isEmpty():
+            return done
+        left = cut(met.where(F.col("bits").isNull()).select(*rows.columns))
         if depth == HASH_BITS:
-            return _named(done).unionByName(_paged(left, limit))
+            return done.unionByName(_paged(left, limit))
         depth, least = min(HASH_BITS, depth + MORE), depth + 1
-    return _named(done)
+
+
+def assign(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """doc_id, n_bytes, hash, shard (its hash bits, and a page where a bucket is chained), bits, shard_bytes: one row per document."""
+    return _placed(cut(_sized(narrow(docs, "doc_id", "text"))), limit).drop("uid")
 
 
 def _bits(bits: Column) -> Column:
@@ -82,7 +86,7 @@ def _bits(bits: Column) -> Column:
 
 
 def _named(rows: DataFrame) -> DataFrame:
-    return rows.select("doc_id", "n_bytes", "hash", _bits(F.col("bits")).alias("shard"), F.col("bits").cast("int").alias("bits"), F.col("bucket_bytes").alias("shard_bytes"))
+    return rows.select("doc_id", "n_bytes", "hash", "uid", _bits(F.col("bits")).alias("shard"), F.col("bits").cast("int").alias("bits"), F.col("bucket_bytes").alias("shard_bytes"))
 
 
 def _paged(rows: DataFrame, limit: int) -> DataFrame:
@@ -90,20 +94,31 @@ def _paged(rows: DataFrame, limit: int) -> DataFrame:
 
     Half the limit a page keeps every page of rows within half the limit under it; larger rows have pages of their own.
     """
-    order = Window.partitionBy("hash").orderBy(F.col("doc_id").asc_nulls_last(), "n_bytes")
     half = max(1, limit // 2)
     large = F.col("n_bytes") > half
-    before = F.coalesce(F.sum(F.when(~large, F.col("n_bytes"))).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.lit(0))
-    page = F.when(large, F.concat(F.lit("L"), F.row_number().over(order).cast("string"))).otherwise(F.concat(F.lit("P"), F.floor(before / half).cast("string")))
-    paged = rows.withColumn("shard", F.concat(_bits(F.lit(HASH_BITS)), F.lit("/"), page))
-    sums = paged.groupBy("shard").agg(F.sum("n_bytes").alias("shard_bytes"))
-    return paged.join(sums, "shard").select("doc_id", "n_bytes", "hash", "shard", F.lit(HASH_BITS).alias("bits"), "shard_bytes")
-
-
-def write(docs: DataFrame, path: str, limit: int = LIMIT) -> None:
-    """Write the documents as one folder of Parquet per shard."""
-    keys = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), hash_of(F.col("doc_id"), F.col("text")).alias("_hash")]
-    shards = assign(docs, limit).select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), F.col("hash").alias("_hash"), F.col("shard").alias("_shard")).groupBy("_id", "_hash").agg(F.min("_shard").alias("shard"))
-    columns = [F.col(f"`{c}`") for c in docs.columns if c != "shard"]
-    placed = docs.select(*columns, *keys).join(shards, ["_id", "_hash"]).drop("_id", "_hash")
-    placed.repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(path)
+    known = rows.withColumns({"no_id": F.col("doc_id").isNull(), "small": F.when(large, F.lit(0)).otherwise(F.col("n_bytes")), "one": F.lit(1)})
+    ordered = cut(running(known, ["hash", "no_id", "doc_id", "n_bytes", "uid"], {"before": "small", "place": "one"}))
+    first = cut(ordered.groupBy("hash").agg(F.count("*").alias("n"), F.min("before").alias("first_before"), F.min("place").alias("first_place")))
+    met = counted_join(ordered, first, ["hash"])
+    alone = F.concat(F.lit("L"), (F.col("place") - F.col("first_place") + 1).cast("string"))
+    shared = F.concat(F.lit("P"), F.floor((F.col("before") + F.col("small") - F.col("first_before")) / half).cast("string"))
+    paged = cut(met.select(*rows.columns, F.concat(_bits(F.lit(HASH_BITS)), F.lit("/"), F.when(large, alone).otherwise(shared)).alias("shard")))
+    sums = cut(paged.groupBy("shard").agg(F.count("*").alias("n"), F.sum("n_bytes").alias("shard_bytes")))
+    return counted_join(paged, sums, ["shard"]).select(*rows.columns, "shard", F.lit(HASH_BITS).alias("bits"), "shard_bytes")
+
+
+def write(docs: DataFrame, path: str, limit: int = LIMIT) -> str:
+    """Write the documents as one folder of Parquet per shard, and return the name of the folders' column.
+
+    That is `shard`, or with underscores before it where docs has such a column.  Its values begin with `b`, so that no reader takes bits
+    for a number.  The rows are stored once with a number each, and shards are joined by it, so repeated rows keep their pages.
+    """
+    spark, (name,) = docs.sparkSession, fresh(docs, "shard")
+    folder = scratch(spark, "sharding")
+    _sized(nested(docs, "doc_id", "text")).write.parquet(folder)
+    whole = spark.read.parquet(folder)
+    shards = _placed(cut(whole.drop("document")), limit).select("uid", F.concat(F.lit("b"), F.translate("shard", "/", "-")).alias("own"))
+    found = whole.select("document", "uid").join(shards, "uid").select("document.*", F.col("own").alias(name))
+    found.repartition(name).write.mode("overwrite").partitionBy(name).parquet(path)
+    removed(spark, folder)
+    return name
