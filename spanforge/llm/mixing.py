@@ -19,13 +19,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, narrow, words_of
+from .common import counted_join, cut, group_join, narrow, nested, words_of
 
 #: Weights of the sources in code-point order, repeating; share of all words that the mix holds; most a source is repeated.
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2.0
 GROUP = 2_000
-#: Source tables up to this many rows are broadcast; larger ones are joined by shuffle.
-BROADCAST_SOURCES = 20_000
 _EPS = 1e-9
 
 
@@ -115,13 +113,11 @@ def _flown(units: DataFrame, last: bool) -> DataFrame:
 
 
 def decide(sizes: DataFrame, goals: DataFrame) -> DataFrame:
-    """key_a, key_b, copies: how often each document is taken."""
-    goals = F.broadcast(goals) if goals.count() <= BROADCAST_SOURCES else goals
-    goals = goals.select(F.col("source").alias("goal_source"), F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("rate"), "rows")
+    """key_a, key_b, copies: how often each document is taken; n rows have that key."""
+    goals = goals.select("source", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("rate"), "rows")
     own = sizes.groupBy("key_a", "key_b").agg(F.first("source").alias("source"), F.first("size").alias("size"), F.count("*").alias("n"))
-    units = own.join(goals, F.col("source").eqNullSafe(F.col("goal_source"))).select("source", "key_a", "key_b", "n", (F.col("n") * F.col("size")).alias("words"), "rate", "rows")
-    units = cut(units)
-    whole = units.select("key_a", "key_b", F.floor("rate").alias("copies"))
+    units = cut(group_join(own, goals, ["source"], "rows").select("source", "key_a", "key_b", "n", (F.col("n") * F.col("size")).alias("words"), "rate", "rows"))
+    whole = units.select("key_a", "key_b", "n", F.floor("rate").alias("copies"))
     left = units.withColumn("p", F.col("rate") - F.floor("rate")).where(F.col("p") > _EPS)
     many, taken = F.ceil(F.col("rows") / GROUP), None
     while True:
@@ -133,32 +129,28 @@ def decide(sizes: DataFrame, goals: DataFrame) -> DataFrame:
         if most <= 1:
             break
         rest = flown.where(~F.col("p").isin(0.0, 1.0))
-        rows = rest.groupBy(F.col("source").alias("rest_source")).agg(F.count("*").alias("rows"))
-        left = cut(rest.join(rows, F.col("source").eqNullSafe(F.col("rest_source"))).drop("rest_source"))
+        left = cut(group_join(rest, rest.groupBy("source").agg(F.count("*").alias("rows")), ["source"], "rows"))
         many = F.ceil(F.col("rows") / GROUP)
-    return whole.join(taken, ["key_a", "key_b"], "left").select("key_a", "key_b", (F.col("copies") + F.coalesce("more", F.lit(0))).cast("bigint").alias("copies"))
+    return whole.join(taken, ["key_a", "key_b"], "left").select("key_a", "key_b", "n", (F.col("copies") + F.coalesce("more", F.lit(0))).cast("bigint").alias("copies"))
 
 
 def plan(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Sizes of all rows, targets of all sources, copies of all documents."""
     sizes = cut(narrow(docs, "doc_id", "text", "source").select("doc_id", "source", F.size(words_of(F.col("text"))).cast("bigint").alias("size"), *_key()))
     goals = cut(targets(sizes))
-    return sizes, goals, decide(sizes, goals)
+    return sizes, goals, cut(decide(sizes, goals))
 
 
 def taken(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken, copies: one row per document."""
     sizes, goals, copies = plan(docs)
-    goals = goals.withColumnRenamed("source", "goal_source").drop("rows")
-    goals = F.broadcast(goals) if goals.count() <= BROADCAST_SOURCES else goals
-    rows = sizes.join(copies, ["key_a", "key_b"]).join(goals, F.col("source").eqNullSafe(F.col("goal_source")))
+    rows = group_join(counted_join(sizes, copies, ["key_a", "key_b"]), goals, ["source"], "rows")
     return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
 def mix(docs: DataFrame) -> DataFrame:
     """The documents as often as the mix takes them, with all their columns."""
-    _, _, copies = plan(docs)
-    have = {c.lower() for c in docs.columns}
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")).withColumns({c: F.col(f"document.{c}") if c in have else F.lit(None).cast("string") for c in ("doc_id", "text", "source")})
-    found = whole.select("document", *_key()).join(copies, ["key_a", "key_b"]).where("copies > 0")
+    sizes, _, copies = plan(docs)
+    whole = nested(docs, "doc_id", "text", "source").select("document", *_key())
+    found = counted_join(whole, copies, ["key_a", "key_b"], sizes.count()).where("copies > 0")
     return found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).select("document.*")
