@@ -4,7 +4,9 @@ A word between boundary marks is a sequence of characters; each order's n-grams
 64-bit hashes with their discounted probability and back-off weight.  The language with the lowest cross-entropy
 per character wins.  A temperature, fitted on texts held back from the counts, turns cross-entropies into the
 score; texts whose best cross-entropy is above that language's calibrated limit are marked as rejected, so that a caller can
-treat them as unknown.  Models are fitted on a bounded sample (PER_LANGUAGE, ALL_LANGUAGES); whole texts are scored.
+treat them as unknown.  Models are fitted on a bounded sample: PER_LANGUAGE texts a language, and ALL_TEXTS in all, so with more than ten
+languages each has fewer; beyond ALL_TEXTS languages the first in code-point order are learned.  A language with under ten texts rejects
+nothing.  Whole texts are scored.
 
 Defined results: null text and text without a letter give `und` with score 0; equal texts give equal results; ties go to the
 first language in code-point order; an empty table gives an empty table; without learnable texts all is `und`.
@@ -19,18 +21,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, is_held_out, narrow, ragged_sums, texts_of
+from .common import arrow_map, cut, group_join, is_held_out, narrow, ragged_sums, texts_of
 from .labelled import MAX_LEARN_CHARS
 from .word_table import WordTable, flat_codes, mix
 
 ORDER, DISCOUNT, ALPHABET = 4, 0.75, 1 << 16
-PER_LANGUAGE, ALL_LANGUAGES = 400, 4000
-#: Tables of languages up to this many rows are broadcast; larger ones are joined by shuffle.
-BROADCAST_LANGUAGES = 10_000
+PER_LANGUAGE, ALL_TEXTS = 400, 4000
 #: A calibration text is rejected with about this probability.
 REJECT = 0.005
 UNKNOWN = "und"
-_WORD, _LETTER = re.compile(r"[^\W\d_]+"), re.compile(r"[^\W\d_]")
+_WORD = re.compile(r"[^\W\d_]+")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -123,13 +123,14 @@ class Model:
                 self.limits[k] = np.quantile(mine, 1 - REJECT) * 1.05
 
     def word_costs(self, words: list[str]) -> np.ndarray:
-        """Per word: its cost under each language and its number of predicted characters."""
+        """Per word: its cost under each language and its number of predicted characters; without a letter (such as ²) both are zero."""
+        lettered = np.fromiter((any(map(str.isalpha, w)) for w in words), bool, len(words))
         codes, lengths = flat_codes(words, " ", " ")
         grams = [_grams(codes, lengths, n) for n in range(1, ORDER + 1)]
         predicted = np.ones(len(codes), bool)
         predicted[np.cumsum(lengths) - lengths] = False
         columns = [ragged_sums(np.where(predicted, c.cost(codes, lengths, grams), 0.0), lengths) for c in self.counts]
-        return np.stack([*columns, lengths - 1.0], 1)
+        return np.where(lettered[:, None], np.stack([*columns, lengths - 1.0], 1), 0.0)
 
     def table(self) -> WordTable:
         return WordTable(self.word_costs, len(self.languages) + 1, 300_000)
@@ -147,7 +148,7 @@ class Model:
         if not self.languages:
             return [UNKNOWN] * n, np.zeros(n), np.full(n, np.nan), np.ones(n, bool)
         entropy = self.entropies(texts, table)
-        ok = np.isfinite(entropy).all(axis=1) & np.fromiter((bool(_LETTER.search(t)) for t in texts), bool, n)
+        ok = np.isfinite(entropy).all(axis=1)
         safe = np.where(ok[:, None], entropy, 0.0)
         best = safe.argmin(1)
         x = -self.temperature * safe
@@ -158,22 +159,21 @@ class Model:
 
 
 def train(docs: DataFrame, modulus: int = 3, remainder: int = 1) -> Model:
-    """Fit on at most PER_LANGUAGE texts a language, and ALL_LANGUAGES texts in all, picked by a hash of the id."""
+    """Fit on at most PER_LANGUAGE texts a language, and ALL_TEXTS texts in all, picked by a hash of the id."""
     own = narrow(docs, "doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id"), modulus, remainder) & (F.length("text") <= MAX_LEARN_CHARS))
-    languages = own.groupBy("lang").agg(F.count("*").alias("n"))
-    kinds = languages.count()
-    per = max(1, min(PER_LANGUAGE, ALL_LANGUAGES // max(1, kinds)))
-    languages = F.broadcast(languages) if kinds <= BROADCAST_LANGUAGES else languages
-    # ids first, so that no text is shuffled; the pre-cut by hash keeps a language's window at a few times `per` rows
+    ids = cut(own.select("lang", "doc_id"))  # ids first, so that no text is shuffled
+    languages = cut(ids.groupBy("lang").agg(F.count("*").alias("n")))
+    per = max(1, min(PER_LANGUAGE, ALL_TEXTS // max(1, languages.count())))
+    # the pre-cut by hash keeps a language's window at a few times `per` rows
     cut_off = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) * F.col("n") < F.lit(4.0 * per * (1 << 20))
-    ranked = own.select("lang", "doc_id").join(languages, "lang").where(cut_off | (F.col("n") <= 16 * per))
+    ranked = group_join(ids, languages, ["lang"], "n").where(cut_off | (F.col("n") <= 16 * per))
     picked = ranked.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))).where(F.col("k") <= per)
-    ids = [(r["lang"], r["doc_id"]) for r in picked.select("lang", "doc_id").limit(ALL_LANGUAGES).collect()]
-    if not ids:
+    chosen = [(r["lang"], r["doc_id"]) for r in picked.orderBy("lang", "k").limit(ALL_TEXTS).collect()]
+    if not chosen:
         return Model({})
-    chosen = F.broadcast(docs.sparkSession.createDataFrame(ids, "lang string, doc_id bigint"))  # at most ALL_LANGUAGES rows
+    few = F.broadcast(docs.sparkSession.createDataFrame(chosen, "lang string, doc_id bigint"))  # at most ALL_TEXTS rows
     samples: dict[str, list[str]] = {}
-    for r in own.join(chosen, ["lang", "doc_id"]).groupBy("lang", "doc_id").agg(F.min("text").alias("text")).collect():
+    for r in own.join(few, ["lang", "doc_id"]).groupBy("lang", "doc_id").agg(F.min("text").alias("text")).collect():
         samples.setdefault(r["lang"], []).append(r["text"])
     return Model({k: sorted(v) for k, v in samples.items()})
 
