@@ -3,7 +3,8 @@
 The payload is 8-bit PCM in a WAV container.  Samples read back from it are resampled by UP / DOWN with a polyphase windowed-sinc
 filter; frames of FRAME samples overlap by half; their power spectra go through triangular mel filters and a logarithm.  Frames
 whose energy rises above the high mark open a span of time, and it lasts until the energy falls below the low mark (hysteresis).  Log-mels are stored as
-Arrow fixed-shape tensors of BLOCK frames by MELS bands, the last block filled with the floor.  Long signals are worked through in pieces.
+Arrow fixed-shape tensors of BLOCK frames by MELS bands, the last block filled with the floor; beside each tensor stand its real frames and
+its span of time.  What describes a signal is computed from the tensors read back.  Long signals are worked through in pieces.
 
 Defined results: null text is the empty text; its payload is 64 zero bytes; equal texts have equal values; an empty table gives an empty table.
 """
@@ -112,53 +113,57 @@ def active_spans(energy: np.ndarray, high: float, low: float) -> np.ndarray:
     return edges.reshape(-1, 2)
 
 
+SECONDS = HOP * DOWN / UP / RATE
+
+
 def features(samples: bytes) -> tuple[np.ndarray, list[tuple[float, float]]]:
-    """Log-mel blocks (blocks, BLOCK, MELS) and active spans in seconds."""
+    """Log-mel frames (frames, MELS) and active spans in seconds."""
     x = (np.frombuffer(samples, np.uint8).astype(np.float32) - 128) / 128
     mels, energy = log_mels(resample(x))
     middle = float(np.median(energy))
-    seconds = HOP * DOWN / UP / RATE
-    spans = [(a * seconds, b * seconds) for a, b in active_spans(energy, middle + HIGH, middle + LOW).tolist()]
-    blocks = np.full((-(-len(mels) // BLOCK) * BLOCK, MELS), np.log(np.float32(FLOOR)), np.float32)
-    blocks[: len(mels)] = mels
-    return blocks.reshape(-1, BLOCK, MELS), spans
+    return mels, [(a * SECONDS, b * SECONDS) for a, b in active_spans(energy, middle + HIGH, middle + LOW).tolist()]
 
 
-def to_tensors(blocks: np.ndarray) -> bytes:
-    """An Arrow stream with one column of fixed-shape tensors."""
-    column = pa.FixedShapeTensorArray.from_numpy_ndarray(np.ascontiguousarray(blocks))
+def to_tensors(mels: np.ndarray) -> bytes:
+    """An Arrow stream of fixed-shape tensors (BLOCK, MELS), each with its real frames and its time from start to end."""
+    n = -(-len(mels) // BLOCK)
+    blocks = np.full((n * BLOCK, MELS), np.log(np.float32(FLOOR)), np.float32)
+    blocks[: len(mels)] = mels
+    first = np.arange(n) * BLOCK
+    last = np.minimum(first + BLOCK, len(mels))
+    batch = pa.record_batch({"log_mel": pa.FixedShapeTensorArray.from_numpy_ndarray(blocks.reshape(n, BLOCK, MELS)), "frames": (last - first).astype(np.int32), "start": first * SECONDS, "end": last * SECONDS})
     sink = pa.BufferOutputStream()
-    batch = pa.record_batch({"log_mel": column})
     with pa.ipc.new_stream(sink, batch.schema) as out:
         out.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
 
-def from_tensors(stored: bytes) -> np.ndarray:
-    table = pa.ipc.open_stream(stored).read_all()
-    return table.column("log_mel").combine_chunks().to_numpy_ndarray()
+def from_tensors(stored: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The tensors (blocks, BLOCK, MELS) and the real frames of each."""
+    table = pa.ipc.open_stream(stored).read_all().combine_chunks()
+    return table.column("log_mel").combine_chunks().to_numpy_ndarray(), table.column("frames").to_numpy()
 
 
-def describe(blocks: np.ndarray, spans: list[tuple[float, float]]) -> str:
-    means = blocks.reshape(-1, MELS).mean(0, dtype=np.float64)
-    return f"blocks={len(blocks)};spans={len(spans)};active={sum(b - a for a, b in spans):.3f};mel=" + ",".join(f"{m:.1f}" for m in means)
+def describe(stored: bytes, spans: list[tuple[float, float]]) -> str:
+    """Blocks, spans, their seconds, and the mean of each band over the real frames."""
+    blocks, frames = from_tensors(stored)
+    means = blocks.reshape(-1, MELS)[: frames.sum()].mean(0, dtype=np.float64)
+    return f"blocks={len(blocks)};frames={frames.sum()};spans={len(spans)};active={sum(b - a for a, b in spans):.3f};mel=" + ",".join(f"{m:.1f}" for m in means)
 
 
-def audio_features(docs: DataFrame, media: bool = True) -> DataFrame:
-    """One row per document: payload figures, the stored form, its tensors and spans.  media=False leaves the bulky columns out."""
-    schema = "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string, spans array<struct<start:double,end:double>>"
-    kinds = {"doc_id": pa.int64(), "n_bytes": pa.int64(), "payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string(), "feature": pa.string(), "spans": pa.list_(pa.struct([("start", pa.float64()), ("end", pa.float64())]))}
-    if media:
-        schema += ", media binary, tensors binary"
-        kinds |= {"media": pa.binary(), "tensors": pa.binary()}
+def audio_features(docs: DataFrame) -> DataFrame:
+    """One row per document: payload figures, feature, spans of time, the stored form (media) and its tensors."""
+    kinds = {"doc_id": pa.int64(), "n_bytes": pa.int64(), "payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string(), "feature": pa.string(), "spans": pa.list_(pa.struct([("start", pa.float64()), ("end", pa.float64())])), "media": pa.binary(), "tensors": pa.binary()}
+    schema = "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string, spans array<struct<start:double,end:double>>, media binary, tensors binary"
 
     def one(doc_id: int | None, text: str) -> tuple:
         n, payload = payload_of(text)
         stored = to_wav(payload)
         samples, _ = from_wav(stored)
-        blocks, spans = features(samples)
-        row = (doc_id, n, len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-64:]), len(stored), hashlib.sha256(stored).hexdigest(), describe(blocks, spans), [{"start": a, "end": b} for a, b in spans])
-        return (*row, stored, to_tensors(blocks)) if media else row
+        mels, spans = features(samples)
+        tensors = to_tensors(mels)
+        figures = (doc_id, n, len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-64:]), len(stored), hashlib.sha256(stored).hexdigest())
+        return (*figures, describe(tensors, spans), [{"start": a, "end": b} for a, b in spans], stored, tensors)
 
     def over(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = [one(d, t) for d, t in zip(batch.column("doc_id").to_pylist(), texts_of(batch), strict=True)]

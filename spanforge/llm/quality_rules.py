@@ -2,12 +2,14 @@
 
 Base rules are fixed: a text fails with under 20 words, or when over 30 % of its words lie in 8-word windows that the
 text holds twice.  Beyond them, four rates are compared with limits learned from the corpus: each (lang, source) gets a
-quantile sketch per rate, a histogram over buckets of bounded relative width, which merges by adding counts.  Sketches of a
-source with few texts are merged into the language's, and that into the corpus's.  The limit of a rate is its upper quartile
-plus FENCE times the spread between median and quartiles, but at least a least spread, so that only texts far off
-the bulk of their own kind are rejected, however that kind writes.  Where over a quarter of a group is junk, its upper quartile is
-junk too; so no limit lies further than 2 * FENCE times the spread below the median (or the least spread) above the median,
-which holds as long as no more than half of a group is junk.
+quantile sketch per rate and one of its texts' words, histograms over buckets of bounded relative width, which merge by adding counts.  Sketches
+of a source with few texts are merged into the language's, and that into the corpus's.
+
+The limit of a rate is its upper quartile plus FENCE times the spread between median and quartiles, but at least the rate's
+grain: what one event (a symbol, a doubled line, a window and its copy) makes in a text of the group's median length, since rates
+of rare events have quartiles of zero.  Where over a quarter of a group is junk, its upper quartile is junk too; so no limit lies further than
+2 * FENCE times the lower spread (or the grain) above the median, which holds as long as no more than half of a group is
+junk.  A text shorter than the median has coarser rates, so what it may exceed the median by grows in proportion.
 
 Defined results: null or empty text has no words and fails the base rules; a null lang or source is a group of its own; equal
 rows get equal results; an empty table gives an empty table; extra columns are ignored by ``score`` and kept by ``keep``.
@@ -21,20 +23,21 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, narrow, words_of
+from .common import cut, group_join, narrow, nested, words_of
 
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 #: Multiple of the spread beyond the upper quartile at which a text is an outlier of its group.
 FENCE = 4
 #: A group with fewer texts than this uses its language's sketch, and a language with fewer the corpus's.
 MIN_GROUP = 64
-#: rate -> least spread.  Rates are whole numbers: symbols and repeats per 1000 words, doubled lines per 1000 words, code
-#: points per 100 words.
-RATES = {"symbol_rate": 20, "line_rate": 20, "repeat_rate": 70, "length_rate": 100}
+#: Rates are whole numbers: symbols, doubled lines and repeated words per SCALE words, code points per LENGTH_SCALE words.
+SCALE = 100_000
+#: Events whose rate in a text of the median length is a rate's grain; the mean length of n words is grained by 1 / sqrt(n) code points.
+EVENTS = {"symbol_rate": 1, "line_rate": 1, "repeat_rate": 2 * WINDOW}
+RATES = (*EVENTS, "length_rate")
+LENGTH_SCALE = 1000
 #: Buckets keep this many leading bits of a rate: a relative width of 1/32.
 BITS = 6
-#: Group tables up to this many rows are broadcast; larger ones are joined by shuffle.
-BROADCAST_GROUPS = 20_000
 
 
 def _let(value: Column, use) -> Column:
@@ -88,7 +91,7 @@ def rates() -> dict[str, Column]:
     """The rates of a text with words, as whole numbers."""
     n, chars, symbols, dup_lines, repeats = map(F.col, METRICS)
     per = lambda x, scale: F.floor(x * scale / F.greatest(n, F.lit(1))).cast("bigint")
-    return {"symbol_rate": per(symbols, 1000), "line_rate": per(dup_lines, 1000), "repeat_rate": per(repeats, 1000), "length_rate": per(chars, 100)}
+    return {"symbol_rate": per(symbols, SCALE), "line_rate": per(dup_lines, SCALE), "repeat_rate": per(repeats, SCALE), "length_rate": per(chars, LENGTH_SCALE)}
 
 
 def bucket(v: Column) -> Column:
@@ -99,67 +102,77 @@ def bucket(v: Column) -> Column:
 
 
 def sketches(metrics: DataFrame) -> DataFrame:
-    """lang, source, rate, edge, n: a mergeable histogram per group and rate.  Partial counts come before the shuffle."""
-    r = rates()
-    long = metrics.where(F.col("n_words") > 0).select("lang", "source", F.explode(F.create_map(*[x for k, c in r.items() for x in (F.lit(k), bucket(c))])).alias("rate", "edge"))
+    """lang, source, rate, edge, n: a mergeable histogram per group and rate, and one of n_words.  Partial counts come before the shuffle."""
+    values = {**rates(), "n_words": F.col("n_words")}
+    long = metrics.where(F.col("n_words") > 0).select("lang", "source", F.explode(F.create_map(*[x for k, c in values.items() for x in (F.lit(k), bucket(c))])).alias("rate", "edge"))
     return long.groupBy("lang", "source", "rate", "edge").agg(F.count("*").alias("n"))
 
 
-def _limits(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """Limit per group and rate out of the merged sketches: a running count over a sketch's few buckets."""
+def _quantile(q: int) -> Column:
+    """Lower edge of the bucket of a sketch `s` that holds its q-th percentile."""
+    state = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(None).cast("bigint").alias("edge"))
+    found = F.aggregate(
+        "s",
+        state,
+        lambda a, x: F.struct((a["seen"] + x["n"]).alias("seen"), F.when(a["edge"].isNull() & ((a["seen"] + x["n"]) * 100 >= F.col("texts") * q), x["edge"]).otherwise(a["edge"]).alias("edge")),
+    )
+    return found["edge"]
+
+
+def limits_of(sketch: DataFrame, keys: list[str]) -> DataFrame:
+    """Per group its texts, median words, and limit and median of each rate, out of the merged sketches."""
     merged = sketch.groupBy(*keys, "rate", "edge").agg(F.sum("n").alias("n"))
     # A sketch has a bounded number of buckets (64 and 32 for each further doubling), so one row can hold it.
     whole = merged.groupBy(*keys, "rate").agg(F.array_sort(F.collect_list(F.struct("edge", "n"))).alias("s"), F.sum("n").alias("texts"))
+    quartiles = whole.select(*keys, "rate", "texts", F.struct(*[_quantile(q).alias(f"q{q}") for q in (25, 50, 75)]).alias("q"))
+    wide = quartiles.groupBy(*keys).agg(F.max("texts").alias("texts"), *[F.max(F.when(F.col("rate") == k, F.col("q"))).alias(k) for k in (*RATES, "n_words")])
+    words = F.col("n_words.q50")
+
+    def limit(rate: str) -> Column:
+        q25, q50, q75 = (F.col(f"{rate}.q{q}") for q in (25, 50, 75))
+        grain = F.floor(EVENTS[rate] * SCALE / words) if rate in EVENTS else F.floor(LENGTH_SCALE / F.sqrt(words))
+        return F.least(q75 + FENCE * F.greatest(q75 - q50, q50 - q25, grain), q50 + 2 * FENCE * F.greatest(q50 - q25, grain))
 
-    def quantile(q: float) -> Column:
-        found = F.aggregate(
-            "s",
-            F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(None).cast("bigint").alias("edge")),
-            lambda a, x: F.struct((a["seen"] + x["n"]).alias("seen"), F.when(a["edge"].isNull() & ((a["seen"] + x["n"]) * 100 >= F.col("texts") * int(q * 100)), x["edge"]).otherwise(a["edge"]).alias("edge")),
-        )
-        return found["edge"]
+    return wide.select(*keys, "texts", words.alias("median_words"), *[x for k in RATES for x in (limit(k).alias(f"max_{k}"), F.col(f"{k}.q50").alias(f"median_{k}"))])
 
-    least = F.element_at(F.create_map(*[x for k, v in RATES.items() for x in (F.lit(k), F.lit(v).cast("bigint"))]), F.col("rate"))
-    low, mid, high = quantile(0.25), quantile(0.5), quantile(0.75)
-    limit = F.least(high + FENCE * F.greatest(high - mid, mid - low, least), mid + 2 * FENCE * F.greatest(mid - low, least))
-    return whole.select(*keys, "rate", "texts", limit.alias("limit"))
+
+LIMITS = ["median_words", *[f"{x}_{k}" for k in RATES for x in ("max", "median")]]
 
 
 def thresholds(metrics: DataFrame) -> DataFrame:
-    """One row per (lang, source) with a limit for each rate."""
+    """One row per (lang, source): its texts, and the limits and medians that hold for it."""
     s = cut(sketches(metrics))
-    own, by_lang, everywhere = _limits(s, ["lang", "source"]), _limits(s, ["lang"]), _limits(s, [])
-    joined = (
-        own.alias("o")
-        .join(by_lang.alias("l"), F.col("o.lang").eqNullSafe(F.col("l.lang")) & (F.col("o.rate") == F.col("l.rate")))
-        .join(everywhere.alias("e"), F.col("o.rate") == F.col("e.rate"))
-        .select("o.lang", "o.source", "o.rate", F.when(F.col("o.texts") >= MIN_GROUP, F.col("o.limit")).when(F.col("l.texts") >= MIN_GROUP, F.col("l.limit")).otherwise(F.col("e.limit")).alias("limit"))
-    )
-    return joined.groupBy("lang", "source").agg(*[F.max(F.when(F.col("rate") == k, F.col("limit"))).alias(f"max_{k}") for k in RATES])
+    own, by_lang = limits_of(s, ["lang", "source"]), limits_of(s, ["lang"]).select(F.col("lang").alias("of_lang"), *[F.col(c).alias(f"lang_{c}") for c in ("texts", *LIMITS)])
+    whole = limits_of(s, []).first()  # one row for the corpus; none if it has no words
+    first = lambda c: F.when(F.col("texts") >= MIN_GROUP, F.col(c)).when(F.col("lang_texts") >= MIN_GROUP, F.col(f"lang_{c}")).otherwise(F.lit(whole[c] if whole else None).cast("bigint"))
+    return own.join(by_lang, F.col("lang").eqNullSafe(F.col("of_lang"))).select("lang", "source", "texts", *[first(c).alias(c) for c in LIMITS])
 
 
 def verdict(metrics: DataFrame, limits: DataFrame) -> DataFrame:
-    """Add base_failed and kept.  Limits are broadcast only when they are counted to be few.
+    """Add base_failed and kept.
 
-    ``kept`` is one CASE rather than a conjunction: a filter on it then stays above the join, where the counts are columns,
-    and is not pushed below the projections that compute them.
+    A group without a text that has words has no limits, and its texts fail the base rules.  ``kept`` is one CASE rather than a conjunction: a
+    filter on it then stays above the join, where the counts are columns, and is not pushed below the projections that compute them.
     """
-    limits = cut(limits).withColumnsRenamed({"lang": "limit_lang", "source": "limit_source"})
-    few = F.broadcast(limits) if limits.count() <= BROADCAST_GROUPS else limits
-    out = metrics.join(few, F.col("lang").eqNullSafe(F.col("limit_lang")) & F.col("source").eqNullSafe(F.col("limit_source")), "left")
+    wordless = metrics.where("n_words = 0").withColumns({c: F.lit(None).cast("bigint") for c in LIMITS})
+    out = group_join(metrics.where("n_words > 0"), limits, ["lang", "source"], "texts").drop("texts").unionByName(wordless)
     failed = base_failed(F.col("n_words"), F.col("n_repeat_words"))
-    off = reduce(or_, [F.coalesce(c > F.col(f"max_{k}"), F.lit(False)) for k, c in rates().items()])
-    return out.withColumn("base_failed", failed).withColumn("kept", F.when(failed, F.lit(False)).otherwise(~off))
+
+    def off(rate: str, value: Column) -> Column:
+        most, middle, words = (F.col(c) for c in (f"max_{rate}", f"median_{rate}", "median_words"))
+        return (value - middle) * F.least(F.col("n_words"), words) > (most - middle) * words
+
+    bad = reduce(or_, [F.coalesce(off(k, c), F.lit(False)) for k, c in rates().items()])
+    return out.withColumn("base_failed", failed).withColumn("kept", F.when(failed, F.lit(False)).otherwise(~bad))
 
 
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, lang, source, the five counts, base_failed, kept and the limits that applied: one row per document."""
     metrics = cut(with_metrics(narrow(docs, "doc_id", "text", "lang", "source")))
-    return verdict(metrics, thresholds(metrics)).select("doc_id", "lang", "source", *METRICS, "base_failed", "kept", *[f"max_{k}" for k in RATES])
+    return verdict(metrics, thresholds(metrics)).select("doc_id", "lang", "source", *METRICS, "base_failed", "kept", *LIMITS)
 
 
 def keep(docs: DataFrame) -> DataFrame:
     """The documents that pass, with all their columns.  The texts are read twice rather than shuffled."""
     limits = thresholds(with_metrics(narrow(docs, "text", "lang", "source")))
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")).withColumns({c: F.col(f"document.{c}") if c in docs.columns else F.lit(None).cast("string") for c in ("text", "lang", "source")})
-    return verdict(with_metrics(whole), limits).where("kept").select("document.*")
+    return verdict(with_metrics(nested(docs, "text", "lang", "source")), limits).where("kept").select("document.*")

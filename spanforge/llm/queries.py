@@ -24,7 +24,7 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.score(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return quality_rules.score(_table(spark, sf_dir, "documents")).select("doc_id", *quality_rules.METRICS, "base_failed", "kept", *quality_rules.LIMITS)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +43,7 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = line_dedup.apply(_table(spark, sf_dir, "documents"))
-    return done.select(F.col("document.doc_id").alias("doc_id"), "text", F.size("gone").cast("bigint").alias("n_deleted"), "gone_words", F.array_join(F.col("gone").cast("array<string>"), ",").alias("deleted_lines"))
+    return done.select(F.col("document.doc_id").cast("bigint").alias("doc_id"), "text", F.size("gone").cast("bigint").alias("n_deleted"), "gone_words", F.array_join(F.col("gone").cast("array<string>"), ",").alias("deleted_lines"))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +51,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_media_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media_audio.audio_features(_table(spark, sf_dir, "documents"), media=False).drop("spans")
+    return media_audio.audio_features(_table(spark, sf_dir, "documents"))
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from . import line_dedup, quality_rules, sharding
 
-#: A bucket of k bits holds all rows with these leading bits; a row's shard is the shortest prefix whose bucket fits.  24 bits are
-#: enough for tables of which SQL is asked.
+#: A bucket of k bits holds all rows with these leading bits; a row's shard is the shortest prefix whose bucket fits.  Rows of one hash that
+#: never fit are paged in order of id: small ones by halves of the limit in their running total, larger ones each alone.
+_BITS = sharding.HASH_BITS
 _SHARDING = f"""
-WITH d AS (SELECT doc_id, strlen(coalesce(text, '')) AS n_bytes, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 15) AS BIGINT) AS hash FROM documents),
-b AS (SELECT doc_id, n_bytes, hash, k, hash >> ({sharding.HASH_BITS} - k) AS node FROM d, (SELECT unnest(range(0, 25)) AS k)),
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, strlen(coalesce(text, '')) AS n_bytes, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 15) AS BIGINT) AS hash FROM documents),
+b AS (SELECT r, n_bytes, k, hash >> ({_BITS} - k) AS node FROM d, (SELECT unnest(range(0, {_BITS + 1})) AS k)),
 s AS (SELECT k, node, CAST(sum(n_bytes) AS BIGINT) AS shard_bytes FROM b GROUP BY k, node HAVING sum(n_bytes) <= {sharding.LIMIT}),
-m AS (SELECT doc_id, n_bytes, hash, min(k) AS bits, arg_min(shard_bytes, k) AS shard_bytes FROM b JOIN s USING (k, node) GROUP BY doc_id, n_bytes, hash)
-SELECT doc_id, n_bytes, hash, substr(lpad(bin(hash), {sharding.HASH_BITS}, '0'), 1, CAST(bits AS INTEGER)) AS shard, CAST(bits AS INTEGER) AS bits, shard_bytes FROM m
+m AS MATERIALIZED (SELECT r, min(k) AS bits, arg_min(shard_bytes, k) AS shard_bytes FROM b JOIN s USING (k, node) GROUP BY r),
+o AS (
+  SELECT *, n_bytes > {sharding.LIMIT // 2} AS large, coalesce(sum(CASE WHEN n_bytes <= {sharding.LIMIT // 2} THEN n_bytes END) OVER w, 0) AS upto, row_number() OVER w AS nth
+  FROM d ANTI JOIN m USING (r) WINDOW w AS (PARTITION BY hash ORDER BY doc_id NULLS LAST, n_bytes, r ROWS UNBOUNDED PRECEDING)),
+p AS (SELECT doc_id, n_bytes, hash, lpad(bin(hash), {_BITS}, '0') || '/' || CASE WHEN large THEN 'L' || nth ELSE 'P' || (upto // {sharding.LIMIT // 2}) END AS shard FROM o)
+SELECT doc_id, n_bytes, hash, substr(lpad(bin(hash), {_BITS}, '0'), 1, CAST(bits AS INTEGER)) AS shard, CAST(bits AS INTEGER) AS bits, shard_bytes FROM d JOIN m USING (r)
+UNION ALL SELECT doc_id, n_bytes, hash, shard, {_BITS} AS bits, CAST(sum(n_bytes) OVER (PARTITION BY shard) AS BIGINT) AS shard_bytes FROM p
 """
 
 #: A list of a text's words, and whether a line has one.
@@ -20,21 +26,31 @@ _HAS_WORD = r"regexp_matches({0}, '[^\x20\x09-\x0D]')"
 
 
 def _scope(keys: list[str]) -> str:
-    """Limits per group of keys and rate: quantiles are lower edges of buckets."""
-    by = ", ".join([*keys, "rate"])
-    at = ", ".join(f"min(edge) FILTER (WHERE seen * 100 >= texts * {q}) AS q{q}" for q in (25, 50, 75))
-    least = " ".join(f"WHEN '{k}' THEN {v}" for k, v in quality_rules.RATES.items())
-    return f"""SELECT {by}, texts, q75 + {quality_rules.FENCE} * greatest(q75 - q50, q50 - q25, CASE rate {least} END) AS most FROM (
+    """Limits and medians per group of keys: quantiles are lower edges of buckets."""
+    by, q = ", ".join([*keys, "rate"]), quality_rules
+    group = f"GROUP BY {', '.join(keys)}" if keys else ""
+    at = ", ".join(f"min(edge) FILTER (WHERE seen * 100 >= texts * {x}) AS q{x}" for x in (25, 50, 75))
+    wide = ", ".join(f"max(q{x}) FILTER (WHERE rate = '{k}') AS {k}_{x}" for k in q.RATES for x in (25, 50, 75))
+
+    def limit(k: str) -> str:
+        grain = f"{q.EVENTS[k] * q.SCALE} // median_words" if k in q.EVENTS else f"CAST(floor({q.LENGTH_SCALE} / sqrt(median_words)) AS BIGINT)"
+        upper = f"{k}_75 + {q.FENCE} * greatest({k}_75 - {k}_50, {k}_50 - {k}_25, {grain})"
+        return f"least({upper}, {k}_50 + {2 * q.FENCE} * greatest({k}_50 - {k}_25, {grain})) AS max_{k}, {k}_50 AS median_{k}"
+
+    return f"""SELECT {''.join(k + ', ' for k in keys)}texts, median_words, {', '.join(map(limit, q.RATES))} FROM (
+  SELECT {''.join(k + ', ' for k in keys)}max(texts) AS texts, max(q50) FILTER (WHERE rate = 'n_words') AS median_words, {wide} FROM (
   SELECT {by}, any_value(texts) AS texts, {at} FROM (
     SELECT *, sum(n) OVER (PARTITION BY {by} ORDER BY edge) AS seen, sum(n) OVER (PARTITION BY {by}) AS texts FROM (
-      SELECT {by}, edge, count(*) AS n FROM buckets GROUP BY {by}, edge)) GROUP BY {by})"""
+      SELECT {by}, edge, count(*) AS n FROM buckets GROUP BY {by}, edge)) GROUP BY {by}) {group})"""
 
 
-_RATES = {"symbol_rate": "n_symbols * 1000 // n_words", "line_rate": "n_dup_lines * 1000 // n_words", "repeat_rate": "n_repeat_words * 1000 // n_words", "length_rate": "word_chars * 100 // n_words"}
-_LONG = " UNION ALL ".join(f"SELECT lang, source, '{k}' AS rate, {v} AS v FROM m WHERE n_words > 0" for k, v in _RATES.items())
+_RATES = {k: f"{x} * {quality_rules.SCALE} // n_words" for k, x in (("symbol_rate", "n_symbols"), ("line_rate", "n_dup_lines"), ("repeat_rate", "n_repeat_words"))}
+_RATES["length_rate"] = f"word_chars * {quality_rules.LENGTH_SCALE} // n_words"
+_LONG = " UNION ALL ".join(f"SELECT lang, source, '{k}' AS rate, {v} AS v FROM m WHERE n_words > 0" for k, v in {**_RATES, "n_words": "n_words"}.items())
+_LIMITS = ", ".join(f"CASE WHEN o.texts >= {quality_rules.MIN_GROUP} THEN o.{c} WHEN l.texts >= {quality_rules.MIN_GROUP} THEN l.{c} ELSE e.{c} END AS {c}" for c in quality_rules.LIMITS)
 _STEP = f"greatest(length(bin(v)) - {quality_rules.BITS}, 0)"
 _WINDOW = " || ' ' || ".join(["x", *[f"lead(x, {i}) OVER o" for i in range(1, quality_rules.WINDOW)]])
-_OFF = " OR ".join(f"coalesce({v} > max_{k}, false)" for k, v in _RATES.items())
+_OFF = " OR ".join(f"coalesce(({v} - median_{k}) * least(n_words, median_words) > (max_{k} - median_{k}) * median_words, false)" for k, v in _RATES.items())
 _QUALITY = f"""
 WITH d AS MATERIALIZED (SELECT row_number() OVER () AS k, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
 w AS MATERIALIZED (SELECT k, {_WORDS.format('text')} AS ws, list_filter(string_split(text, chr(10)), lambda y: {_HAS_WORD.format('y')}) AS ls FROM d),
@@ -50,19 +66,17 @@ buckets AS MATERIALIZED (SELECT lang, source, rate, (v >> {_STEP}) << {_STEP} AS
 own AS ({_scope(['lang', 'source'])}),
 by_lang AS ({_scope(['lang'])}),
 everywhere AS ({_scope([])}),
-limits AS (
-  SELECT o.lang, o.source, o.rate, CASE WHEN o.texts >= {quality_rules.MIN_GROUP} THEN o.most WHEN l.texts >= {quality_rules.MIN_GROUP} THEN l.most ELSE e.most END AS most
-  FROM own o JOIN by_lang l ON o.lang IS NOT DISTINCT FROM l.lang AND o.rate = l.rate JOIN everywhere e ON o.rate = e.rate),
-z AS (SELECT lang, source, {', '.join(f"max(most) FILTER (WHERE rate = '{k}') AS max_{k}" for k in _RATES)} FROM limits GROUP BY lang, source),
+z AS (SELECT o.lang, o.source, {_LIMITS} FROM own o JOIN by_lang l ON o.lang IS NOT DISTINCT FROM l.lang CROSS JOIN everywhere e),
 v AS (SELECT m.*, z.* EXCLUDE (lang, source), n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words AS base_failed
   FROM m LEFT JOIN z ON m.lang IS NOT DISTINCT FROM z.lang AND m.source IS NOT DISTINCT FROM z.source)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, CASE WHEN base_failed THEN false ELSE NOT ({_OFF}) END AS kept FROM v
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, CASE WHEN base_failed THEN false ELSE NOT ({_OFF}) END AS kept,
+  {', '.join(f'CASE WHEN n_words > 0 THEN {c} END AS {c}' for c in quality_rules.LIMITS)} FROM v
 """
 
 #: Lines of a document with a word are numbered j.  Every shortest run of enough words from a line on, and up to a line, is spelt out;
 #: where its text occurs earlier (by doc_id, then line), the run's lines go.
 _LINE_DEDUP = f"""
-WITH n AS MATERIALIZED (SELECT doc_id, text, dense_rank() OVER (ORDER BY doc_id NULLS LAST, text NULLS LAST) AS k FROM documents),
+WITH n AS MATERIALIZED (SELECT doc_id, text, dense_rank() OVER (ORDER BY doc_id NULLS LAST, md5(text) NULLS LAST) AS k FROM documents),
 every AS MATERIALIZED (SELECT k, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS place FROM (SELECT DISTINCT k, text FROM n)),
 c AS MATERIALIZED (
   SELECT *, sum(words) OVER (PARTITION BY k ORDER BY j) AS upto FROM (
