@@ -1,16 +1,19 @@
 """The ten operators against brute force, and over odd tables."""
 
 import collections
+import hashlib
 import itertools
 import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 
-from spanforge.llm import langid, line_crf, line_dedup, media_audio, mixing, near_copies, packing, quality_rules, sharding, simhash, toxicity
+from spanforge.llm import common, langid, line_crf, line_dedup, media_audio, mixing, near_copies, packing, quality_rules, sharding, simhash, sql, toxicity
 from spanforge.llm.queries import tokenizer_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -84,6 +87,68 @@ def test_quality_limits_hold_in_dirty_sources(spark, percent):
     assert {r.doc_id for r in quality_rules.keep(df).collect()} == set(range(150))
 
 
+def marked(rng, n, share):
+    """Prose in which about that share of words carries a symbol."""
+    return " ".join(f"{w}#" if rng.random() < share else w for w in prose(rng, n).split())
+
+
+def test_quality_limits_follow_a_sources_habit(spark):
+    rng = random.Random(3)
+    plain = [(i, prose(rng, 200), "en", "plain", 0) for i in range(150)]
+    code = [(200 + i, marked(rng, 200, rng.uniform(0.02, 0.12)), "en", "code", 0) for i in range(150)]
+    same = marked(random.Random(4), 200, 0.1)
+    df = spark.createDataFrame([*plain, *code, (400, same, "en", "plain", 0), (401, same, "en", "code", 0)], SCHEMA)
+    kept = {r.doc_id for r in quality_rules.keep(df).collect()}
+    assert 401 in kept and 400 not in kept and len(kept) >= 298
+    limits = {r.source: r for r in quality_rules.thresholds(quality_rules.with_metrics(df)).collect()}
+    assert limits["code"].max_symbol_rate > 5 * limits["plain"].max_symbol_rate
+
+
+def test_quality_limits_differ_by_length_and_shape(spark):
+    """Limits of three rates and more come from the sketches, and no constant explains all rejections."""
+    rng = random.Random(5)
+    rows = [(i, marked(rng, 60 if i % 2 else 400, 0.01 if i % 2 else 0.05) + "\n" + "long" * (i % 2) * 9, "en", f"s{i % 2}", 0) for i in range(300)]
+    limits = quality_rules.thresholds(quality_rules.with_metrics(spark.createDataFrame(rows, SCHEMA))).collect()
+    assert sum(len({r[f"max_{k}"] for r in limits}) == 2 for k in quality_rules.RATES) >= 3
+    few = [(i, prose(rng, 60), "en", "s", 0) for i in range(10)]
+    assert len({r.max_symbol_rate for r in quality_rules.thresholds(quality_rules.with_metrics(spark.createDataFrame([*rows, *few], SCHEMA))).collect()}) == 3
+
+
+def test_sketches_merge(spark, docs):
+    """Adding up the sketches of two halves is the sketch of the whole."""
+    m = quality_rules.with_metrics(docs.select("doc_id", "text", "lang", "source")).cache()
+    halves = [quality_rules.sketches(m.where(c)) for c in ("doc_id % 2 = 0", "doc_id % 2 <> 0 OR doc_id IS NULL")]
+    keys = ["lang", "source", "rate", "edge"]
+    merged = halves[0].union(halves[1]).groupBy(*keys).agg({"n": "sum"}).withColumnRenamed("sum(n)", "n")
+    assert sorted(map(str, merged.collect())) == sorted(map(str, quality_rules.sketches(m).select(*keys, "n").collect()))
+
+
+def test_quality_sql(spark, docs, texts):
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas().astype({"doc_id": "Int64"}))
+    want = con.execute(sql.ORACLE_SQL["op1_quality_rules"]).df()
+    got = quality_rules.score(docs).select(*want.columns).toPandas()
+    told = lambda df: collections.Counter(tuple(None if pd.isna(x) else int(x) for x in r) for r in df.itertuples(index=False))
+    assert told(got) == told(want)
+
+
+def test_columns_of_another_case(spark):
+    rng = random.Random(6)
+    df = spark.createDataFrame([(i, prose(rng, 60), "en", "s") for i in range(80)], "Doc_ID int, Text string, LANG string, Source string")
+    assert quality_rules.keep(df).count() == 80 and quality_rules.keep(df).columns == df.columns
+    assert line_dedup.dedup(df).columns == df.columns and mixing.mix(df).columns == df.columns and near_copies.keep(df).count() == 80
+    with pytest.raises(TypeError, match="integer"):
+        simhash.near_duplicates(df.selectExpr("cast(Doc_ID as string) doc_id", "Text"))
+
+
+@pytest.mark.parametrize("few", [1, 3, 100])
+def test_group_join_beyond_its_broadcast(spark, few):
+    rows = spark.createDataFrame([(k, None if k % 5 == 4 else f"s{k % 5}") for k in range(60)], "k int, source string")
+    groups = rows.groupBy("source").count().withColumnRenamed("count", "n")
+    met = common.group_join(rows, groups, ["source"], "n", few)
+    assert sorted(r.k for r in met.collect()) == list(range(60)) and set(met.columns) == {"k", "source", "n"}
+
+
 def test_sketch_buckets(spark):
     values = [0, 1, 63, 64, 65, 127, 128, 1000, 123_456_789]
     df = spark.createDataFrame([(v,) for v in values], "v bigint")
@@ -93,7 +158,7 @@ def test_sketch_buckets(spark):
 
 def brute_lines(rows, min_words):
     """Lines of each (doc, text) that lie in a run of min_words words or more found earlier."""
-    order = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, r[2]))
+    order = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, hashlib.md5(r[1].encode()).hexdigest()))
     flat = []
     for key in order:
         flat += [(key, at, x) for at, x in enumerate(key[1].split("\n")) if WORD.search(x)] + [None]
@@ -111,14 +176,27 @@ def brute_lines(rows, min_words):
 
 @pytest.mark.parametrize("min_words", [1, 12, 50])
 def test_line_dedup(spark, texts, min_words):
-    # ids are distinct here, so that ties by hash do not matter
-    rows = [(i, t, i) for i, t in enumerate(texts) if t is not None]
-    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], SCHEMA).repartition(3)
-    gone = brute_lines(rows, min_words)
-    want = {i: "\n".join(x for at, x in enumerate(t.split("\n")) if at not in gone[(i, t, i)]) for i, t, _ in rows}
-    got = {r.doc_id: r.text for r in line_dedup.dedup(df, min_words).collect()}
-    assert got.pop(texts.index(None)) is None
-    assert got == want
+    # ids are repeated, with other texts and with the same one, and some are null
+    rows = [(None if i % 7 == 6 else i // 2, t) for i, t in enumerate(texts)] + [(3, texts[7]), (3, texts[7]), (None, texts[6])]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA).repartition(3)
+    gone = brute_lines([r for r in rows if r[1] is not None], min_words)
+    want = collections.Counter((i, None if t is None else "\n".join(x for at, x in enumerate(t.split("\n")) if at not in gone[(i, t)])) for i, t in rows)
+    assert collections.Counter((r.doc_id, r.text) for r in line_dedup.dedup(df, min_words).collect()) == want
+    if min_words == line_dedup.MIN_WORDS:
+        con = duckdb.connect()
+        con.register("documents", pd.DataFrame([(i, t) for i, t in rows], columns=["doc_id", "text"]).astype({"doc_id": "Int64"}))
+        assert collections.Counter((i, t) for i, t, *_ in con.execute(sql.ORACLE_SQL["op5_line_dedup"]).fetchall()) == want
+
+
+def test_one_line_in_most_documents(spark):
+    """A line that most documents hold, beyond the share at which keys are broadcast."""
+    rng = random.Random(8)
+    rows = [(i, "\n".join(["the very common line", prose(rng, 20), *(["the other common line"] * (i % 3))])) for i in range(120)]
+    rows += [(200 + i, rows[i][1]) for i in range(40)]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA)
+    gone = brute_lines(rows, 24)
+    want = {i: "\n".join(x for at, x in enumerate(t.split("\n")) if at not in gone[(i, t)]) for i, t in rows}
+    assert {r.doc_id: r.text for r in line_dedup.dedup(df, 24).collect()} == want
 
 
 def brute_fingerprint(t):
@@ -304,6 +382,30 @@ def test_sharding(docs, texts, limit):
             assert whole[shard[:-1]] > limit  # its parent had to split
 
 
+@pytest.mark.parametrize("limit", [2000, 1 << 20])
+def test_sharding_sql(spark, docs, texts, limit):
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas().astype({"doc_id": "Int64"}))
+    query = sql.ORACLE_SQL["op4_sharding"].replace(str(sharding.LIMIT // 2), str(limit // 2)).replace(str(sharding.LIMIT), str(limit))
+    want = con.execute(query).fetchall()
+    got = sharding.assign(docs, limit).select("doc_id", "n_bytes", "hash", "shard", "bits", "shard_bytes").collect()
+    assert collections.Counter(map(tuple, got)) == collections.Counter(want)
+
+
+def test_sharding_writes_every_row(spark, tmp_path):
+    rows = [(1, "x" * 600, f"{k}", "u", 7, "s") for k in range(20)] + [(k, "y" * 500, "z", "v", k, None) for k in range(30)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, _id string, _hash string, uid int, shard string")
+    name = sharding.write(df, str(tmp_path / "out"), 2000)
+    assert name == "_shard"
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert collections.Counter(map(tuple, back.select(*df.columns).collect())) == collections.Counter(rows)
+    sums = collections.Counter()
+    for r in back.collect():
+        sums[r[name]] += len(r.text)
+    assert max(sums.values()) <= 2000 and all(k.startswith("b") for k in sums)
+    assert sharding.write(spark.createDataFrame([], SCHEMA), str(tmp_path / "none")) == "shard"
+
+
 def test_audio(docs, texts):
     for r in media_audio.audio_features(docs).collect():
         samples, rate = media_audio.from_wav(bytes(r.media))
@@ -313,9 +415,50 @@ def test_audio(docs, texts):
         if r.doc_id is not None:
             assert raw.decode() == (texts[r.doc_id] or "")
         assert r.tail_crc32 == zlib.crc32(samples[-64:]) and r.media_bytes == len(r.media)
-        blocks = media_audio.from_tensors(bytes(r.tensors))
-        assert blocks.shape[1:] == (media_audio.BLOCK, media_audio.MELS)
-        assert media_audio.describe(blocks, [(s.start, s.end) for s in r.spans]) == r.feature
+        blocks, frames = media_audio.from_tensors(bytes(r.tensors))
+        assert blocks.shape[1:] == (media_audio.BLOCK, media_audio.MELS) and (frames[:-1] == media_audio.BLOCK).all()
+        mels, spans = media_audio.features(samples)
+        flat = blocks.reshape(-1, media_audio.MELS)
+        assert (flat[: len(mels)] == mels).all() and (flat[len(mels) :] == np.log(np.float32(media_audio.FLOOR))).all() and frames.sum() == len(mels)
+        assert [(s.start, s.end) for s in r.spans] == spans
+        assert media_audio.describe(bytes(r.tensors), spans) == r.feature
+
+
+def test_audio_feature_is_of_real_frames():
+    """Padding of the last block takes no part in the means, so short texts differ."""
+    def told(text):
+        mels, spans = media_audio.features(media_audio.payload_of(text)[1])
+        return media_audio.describe(media_audio.to_tensors(mels), spans)
+
+    assert told("").split("mel=")[1] != told("hello there my friend").split("mel=")[1]
+    mels, _ = media_audio.features(media_audio.payload_of("abc " * 500)[1])
+    times = media_audio.pa.ipc.open_stream(media_audio.to_tensors(mels)).read_all()
+    assert times.column("start").to_pylist()[1:] == times.column("end").to_pylist()[:-1]
+
+
+def test_mels_against_the_definition():
+    rate, frame, mels = 10_000.0, media_audio.FRAME, media_audio.MELS
+    mel = lambda f: 2595 * np.log10(1 + f / 700)
+    edges = [700 * (10 ** (k * mel(rate / 2) / (mels + 1) / 2595) - 1) for k in range(mels + 2)]
+    bank = np.zeros((frame // 2 + 1, mels))
+    for k in range(frame // 2 + 1):
+        f = k * rate / frame
+        for m in range(mels):
+            a, b, c = edges[m : m + 3]
+            bank[k, m] = (f - a) / (b - a) if a <= f <= b else (c - f) / (c - b) if b < f <= c else 0
+    assert media_audio.mel_bank(rate) == pytest.approx(bank, abs=1e-5)
+    y = np.random.default_rng(3).normal(0, 0.3, 1000).astype(np.float32)
+    got, energy = media_audio.log_mels(y)
+    window = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(frame) / frame)
+    for i in range(len(got)):
+        part = np.zeros(frame)
+        own = y[i * media_audio.HOP : i * media_audio.HOP + frame]
+        part[: len(own)] = own
+        part *= window
+        power = [abs(sum(part * np.exp(-2j * np.pi * k * np.arange(frame) / frame))) ** 2 for k in range(frame // 2 + 1)]
+        assert got[i] == pytest.approx(np.log(np.array(power) @ bank + media_audio.FLOOR), abs=1e-3)
+        assert energy[i] == pytest.approx(np.log((part**2).sum() + media_audio.FLOOR), abs=1e-4)
+    assert len(got) == 1 + -(-(1000 - frame) // media_audio.HOP)
 
 
 @pytest.mark.parametrize(("up", "down", "n"), [(5, 8, 1000), (3, 2, 257), (1, 2, 64), (7, 3, 5)])
@@ -411,17 +554,56 @@ def test_kneser_ney_sums_to_one():
     assert following.sum() + (langid.ALPHABET - 7) / langid.ALPHABET * 0.05 == pytest.approx(1, abs=0.05)
 
 
+def test_kneser_ney_against_the_definition():
+    """Every character's probability by the recursive formula over plain dictionaries."""
+    words = {"ab": 3, "abc": 2, "bca": 1, "cab": 5, "abab": 2}
+    order, d = langid.ORDER, langid.DISCOUNT
+    raw = collections.Counter()
+    for w, times in words.items():
+        x = f" {w} "
+        for n in range(1, order + 1):
+            for i in range(max(1, n - 1), len(x)):
+                raw[x[i - n + 1 : i + 1]] += times
+    count = dict(raw)
+    for g in raw:
+        if len(g) < order:
+            before = {h[0] for h in raw if len(h) == len(g) + 1 and h[1:] == g}
+            count[g] = len(before) or raw[g]  # continuation counts; a word's beginning has nothing before it
+
+    def probability(context, c):
+        lower = probability(context[1:], c) if context else 1 / langid.ALPHABET
+        following = {g: n for g, n in count.items() if len(g) == len(context) + 1 and g[:-1] == context}
+        if not following:
+            return lower
+        total = sum(following.values())
+        return max(following.get(context + c, 0) - d, 0) / total + min(d * len(following) / total, 1) * lower
+
+    model = langid.Counts(list(words), np.array(list(words.values())))
+    for w in ["ab", "abcab", "zab", "a", "cabbage"]:
+        codes, lengths = langid.flat_codes([w], " ", " ")
+        got = np.exp(-model.cost(codes, lengths, [langid._grams(codes, lengths, n) for n in range(1, order + 1)]))
+        x = f" {w} "
+        want = [probability(x[max(0, i - order + 1) : i], x[i]) for i in range(1, len(x))]
+        assert got[1:] == pytest.approx(want, rel=1e-9)
+
+
 def test_language_held_out(spark, docs):
     rng = random.Random(4)
     rows = [(i, " ".join("".join(rng.choices("aeiolmnr" if i % 2 else "kstwzhjg", k=5)) for _ in range(12)), "xx" if i % 2 else "yy", "s", 0) for i in range(300)]
     model = langid.train(spark.createDataFrame(rows, SCHEMA))
-    got = langid.predict(spark.createDataFrame([*rows, (1000, None, "xx", "s", 0), (1001, "12 34!", "xx", "s", 0)], SCHEMA), model).collect()
+    got = langid.predict(spark.createDataFrame([*rows, (1000, None, "xx", "s", 0), (1001, "12 34!", "xx", "s", 0), (1002, "²½ Ⅷ ③", "xx", "s", 0), (1003, "", "xx", "s", 0)], SCHEMA), model).collect()
     for r in got:
         assert 0 <= r.score <= 1
         assert r.lang_pred == ("und" if r.doc_id >= 1000 else "xx" if r.doc_id % 2 else "yy")
     assert langid.predict(docs, langid.train(docs)).count() == docs.count()
 
 
+def test_more_languages_than_texts(spark, monkeypatch):
+    monkeypatch.setattr(langid, "ALL_TEXTS", 5)
+    df = spark.createDataFrame([(i, f"word{i}", f"l{i % 9}", "s", 0) for i in range(90)], SCHEMA)
+    assert langid.train(df).languages == ["l0", "l1", "l2", "l3", "l4"]
+
+
 @pytest.mark.parametrize("rows", [0, 1, 20])
 def test_odd_columns_and_empty_tables(spark, texts, rows):
     df = table(spark, texts[:rows], ODD) if rows else spark.createDataFrame([], ODD)
@@ -476,3 +658,76 @@ def test_near_copies_between_080_and_095(spark, monkeypatch, few):
     assert sorted(kept) == sorted({roots.index(r) for r in roots})
     odd = spark.createDataFrame([], ODD)
     assert near_copies.keep(odd).columns == odd.columns and near_copies.keep(odd).count() == 0
+
+
+def test_toxicity_scores_against_the_definition():
+    rng = np.random.default_rng(0)
+    model = toxicity.Model(rng.normal(size=toxicity.BUCKETS), -0.3)
+
+    def mixed(h):
+        return int(toxicity.mix(np.array([h % (1 << 64)], np.uint64))[0]) % toxicity.BUCKETS
+
+    def logit(word):
+        codes = toxicity.flat_codes([word.strip("!*'#$%&-_+=/\\~`@^") or word], "<", ">")[0].tolist()
+        buckets = []
+        for n in toxicity.ORDERS:
+            for i in range(len(codes) - n + 1):
+                h = n
+                for c in codes[i : i + n]:
+                    h = (h * 0x100000001B3 + c) % (1 << 64)
+                buckets.append(mixed(h))
+        buckets.append(mixed(sum(c * pow(0x100000001B3, k + 1, 1 << 64) for k, c in enumerate(codes))))
+        return np.mean(model.u[buckets])
+
+    texts = ["You are *worthless*, truly!", "a", "", "one two, two three", "déjà-vu idi0t"]
+    for text, got in zip(texts, model.scores(texts, model.table()), strict=True):
+        words = toxicity.words_in(text)
+        z = model.bias + toxicity.GAIN * (np.mean([logit(w) for w in words]) if words else 0)
+        assert got == pytest.approx(1 / (1 + np.exp(-np.clip(z, -40, 40))))
+
+
+def test_crf_gradient():
+    """The step's gradient is that of the chains' log-likelihood, by finite differences."""
+    rng = np.random.default_rng(2)
+    counts, width = np.array([3, 1, 4]), 3
+    active = rng.integers(0, 6, (8, width))
+    truth = np.repeat([1, 0, 1], counts)
+
+    def likelihood(w, pair):
+        unary, at, total = w[active].sum(1), 0, 0.0
+        for n, y in zip(counts, (1, 0, 1)):
+            scores = [sum(unary[at + k, z[k]] for k in range(n)) + sum(pair[a, b] for a, b in zip(z, z[1:])) for z in itertools.product((0, 1), repeat=int(n))]
+            total += unary[at : at + n, y].sum() + (n - 1) * pair[y, y] - np.logaddexp.reduce(scores)
+            at += n
+        return total
+
+    w, pair = rng.normal(size=(6, 2)), rng.normal(size=(2, 2))
+    p, moves = line_crf.marginals(w[active].sum(1), pair, counts)
+    gold = np.eye(2)[truth]
+    g = np.stack([np.bincount(active.ravel(), np.repeat((gold - p)[:, k], width), 6) for k in range(2)], 1)
+    stay = np.diag([0.0, 5.0])
+    for i, k in itertools.product(range(6), range(2)):
+        step = np.zeros((6, 2))
+        step[i, k] = 1e-5
+        assert (likelihood(w + step, pair) - likelihood(w - step, pair)) / 2e-5 == pytest.approx(g[i, k], abs=1e-6)
+    for a, b in itertools.product(range(2), repeat=2):
+        step = np.zeros((2, 2))
+        step[a, b] = 1e-5
+        assert (likelihood(w, pair + step) - likelihood(w, pair - step)) / 2e-5 == pytest.approx((stay - moves)[a, b], abs=1e-6)
+
+
+def test_very_long_texts(spark):
+    """Texts of 20,000 words, one of a single line of 200,000 characters without a blank."""
+    rng = random.Random(13)
+    long = [prose(rng, 20_000), "\n".join(prose(rng, 20) for _ in range(1000)), "x" * 200_000, prose(rng, 300)]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(long)], SCHEMA)
+    counts = {r.doc_id: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in quality_rules.score(df).collect()}
+    assert counts == {i: expected_counts(t) for i, t in enumerate(long)}
+    assert {r.doc_id: r.fingerprint for r in simhash.near_duplicates(df).collect()} == {i: f"{brute_fingerprint(t):016x}" for i, t in enumerate(long)}
+    assert {r.doc_id: r.text for r in line_dedup.dedup(df).collect()} == dict(enumerate(long))
+    assert {r.doc_id: r.n_bytes for r in media_audio.audio_features(df).collect()} == {i: len(t) for i, t in enumerate(long)}
+    labels = spark.createDataFrame([(0, 1, 0), (3, 0, 1)], "doc_id bigint, quality int, toxic int")
+    for out in (toxicity.score(df, toxicity.train(df, labels)), line_crf.score(df, line_crf.train(df, labels)), langid.predict(df, langid.train(df)), mixing.taken(df), sharding.assign(df, 100_000)):
+        assert out.count() == 4
+    pieces = packing.pack(df, tokenizer_path()).collect()
+    assert all(sum(r.length for r in pieces if r.doc_id == i) == {r.doc_tokens for r in pieces if r.doc_id == i}.pop() for i in range(4))
