@@ -25,6 +25,8 @@ from .common import arrow_map, cut, narrow, row_key, texts_of
 SHINGLE, LEAST, SEED = 5, 80, 42
 WORDS, BLOCKS = 4, 11
 RADIUS, FEW = 33, 8
+#: Members of an anchor that one task compares at home.
+PART = 20_000
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
 
@@ -112,7 +114,7 @@ def proposals(nodes: DataFrame, few: int) -> DataFrame:
     """a, b, more_a, more_b: candidate pairs, a < b, and whether a or b had more of them at some anchor."""
     placed = cover(nodes)
     # At most BLOCKS * 4096 anchors exist, so the list of crowded ones may be broadcast.
-    crowded = placed.where("home").groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > simhash.PART).select("anchor", F.ceil(F.col("n") / simhash.PART).cast("int").alias("parts"))
+    crowded = placed.where("home").groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > PART).select("anchor", F.ceil(F.col("n") / PART).cast("int").alias("parts"))
     dealt = placed.join(F.broadcast(cut(crowded)), "anchor", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     sent = dealt.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     own = F.col("home") & (F.pmod(F.xxhash64("node"), F.col("parts")) == F.col("part"))
@@ -185,5 +187,5 @@ def roots_of(docs: DataFrame, prints: DataFrame) -> DataFrame:
 def keep(docs: DataFrame) -> DataFrame:
     """The documents with one left of each component: the smallest doc_id, of rows that share it the one with the least key."""
     prints = cut(prints_of(docs))
-    rooted = prints.select("doc_id", "key_a", "key_b", "node").join(roots_of(docs, prints), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    return simhash.first_of(docs, rooted)
+    rooted = simhash.firsts(prints, "node").join(roots_of(docs, prints), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return simhash.first_of(docs, rooted, prints.count())

@@ -8,8 +8,9 @@ if each is also sent to all anchors within 3 + 1.  That is 5.3 anchors on averag
 themselves (radius 0).  Members of an anchor are compared by whole fingerprint, in numpy, and only a spanning forest of the links leaves the
 task.  Components of the forest are found by alternating large and small stars in DataFrame joins.
 
-Only distinct fingerprints are compared, so copies cost nothing; anchors with many members are split: their home members
-are dealt over parts and the rest is sent to each part.
+Only distinct fingerprints are compared, so copies cost nothing.  Members of an anchor with many are dealt once more: the bits outside
+the anchor's block are cut into THRESHOLD + 1 chunks, at least one of which is equal in two linked fingerprints, and only members that share a
+chunk meet.  So members sent grow in proportion to the fingerprints.
 
 Defined results: null and wordless texts have fingerprint zero and link like any other; rows with a null doc_id take part, and
 a component without any doc_id has a null id; an empty table gives an empty table.
@@ -20,17 +21,19 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, cut, narrow, row_key, texts_of
+from .common import arrow_map, counted_join, cut, narrow, nested, row_key, texts_of
 
 THRESHOLD, SHINGLE, SEED = 4, 4, 42
 _LOW = (1 << 23) - 1
 #: Bits of the last block that name its anchor; the whole fingerprints are compared anyway.
 LAST_BITS = 14
-#: Members of an anchor that one task compares at home.
-PART = 20_000
+#: Bits outside the block, and by how many bits a fingerprint is turned right so that those are its lowest.
+OUTSIDE, TURN = (41, 41, 46), (23, 46, 0)
+#: Members at home beyond which an anchor's members are dealt by chunks.
+PART = 4_000
 #: Pairs compared at once.
 CELLS = 1 << 21
 #: Generator polynomial of the binary Golay code of length 23.
@@ -143,7 +146,13 @@ def cover(distinct: DataFrame) -> DataFrame:
 def forest(fp: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links between members at most THRESHOLD bits apart, at least one of them at home, reduced to a spanning forest."""
     u = fp.view(np.uint64)
-    label = np.arange(len(u))
+    parent = list(range(len(u)))
+
+    def top(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
     a: list[int] = []
     b: list[int] = []
     homes = np.flatnonzero(home)
@@ -152,34 +161,39 @@ def forest(fp: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rows = homes[i : i + step]
         close = np.bitwise_count(u[rows][:, None] ^ u[None, :]) <= THRESHOLD
         close[np.arange(len(rows)), rows] = False
-        for k in np.flatnonzero(close.any(1)):
-            own = int(rows[k])
-            near = np.flatnonzero(close[k])
-            for other in np.unique(label[near]):
-                mine = label[own]
-                if other != mine:
-                    a.append(own)
-                    b.append(int(near[np.argmax(label[near] == other)]))
-                    label[label == other] = mine
+        for own, other in zip(*(x.tolist() for x in np.nonzero(close)), strict=True):
+            x, y = top(int(rows[own])), top(other)
+            if x != y:
+                a.append(int(rows[own]))
+                b.append(other)
+                parent[x] = y
     return fp[a], fp[b]
 
 
+def chunks(block: int) -> Column:
+    """The chunk numbers and values, in one long each, of the bits of fp outside a block."""
+    low = F.col("fp") if not TURN[block] else F.shiftrightunsigned("fp", TURN[block]).bitwiseOR(F.shiftleft("fp", 64 - TURN[block]))
+    ends = [OUTSIDE[block] * k // (THRESHOLD + 1) for k in range(THRESHOLD + 2)]
+    return F.array(*[F.shiftrightunsigned(low, a).bitwiseAND((1 << (b - a)) - 1) + (k << 32) for k, (a, b) in enumerate(zip(ends, ends[1:]))])
+
+
 def links(distinct: DataFrame) -> DataFrame:
     """a, b: fingerprints whose links connect what is at most THRESHOLD bits apart."""
     placed = cover(distinct)
     # At most 2 * 4096 + 2**LAST_BITS anchors exist, so the list of crowded ones may be broadcast.
-    crowded = placed.where("home").groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > PART).select("anchor", F.ceil(F.col("n") / PART).cast("int").alias("parts"))
-    dealt = placed.join(F.broadcast(crowded), "anchor", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    sent = dealt.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    own = F.col("home") & (F.pmod(F.xxhash64("fp"), F.col("parts")) == F.col("part"))
+    crowded = placed.where("home").groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > PART).select("anchor", F.lit(True).alias("many"))
+    dealt = placed.join(F.broadcast(crowded), "anchor", "left")
+    block = F.shiftright("anchor", 32)
+    parts = F.when(F.col("many"), F.when(block == 0, chunks(0)).when(block == 1, chunks(1)).otherwise(chunks(2))).otherwise(F.array(F.lit(-1).cast("bigint")))
+    sent = dealt.select("anchor", F.explode(parts).alias("part"), "fp", "home")
 
     def over(table: pa.Table) -> pa.Table:
-        fp, home = table.column("fp").to_numpy(), table.column("own").to_numpy(zero_copy_only=False)
+        fp, home = table.column("fp").to_numpy(), table.column("home").to_numpy(zero_copy_only=False)
         order = np.argsort(fp, kind="stable")
         a, b = forest(np.ascontiguousarray(fp[order]), home[order])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return sent.select("anchor", "part", "fp", own.alias("own")).groupBy("anchor", "part").applyInArrow(over, "a bigint, b bigint")
+    return sent.groupBy("anchor", "part").applyInArrow(over, "a bigint, b bigint")
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -187,15 +201,14 @@ def connected(edges: DataFrame) -> DataFrame:
     now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = None
     while True:
-        # large star: every larger neighbour is linked to the least one
+        # large star: every larger neighbour is linked to the least one; hubs are joined by broadcast
         both = now.union(now.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        least = cut(both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n"))
+        large = cut(counted_join(both, least, ["a"]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
         # small star: a node and its smaller neighbours are linked to the least one
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        near = large.join(low, "a")
-        small = near.select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
-        now = cut(small)
+        low = cut(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")))
+        near = counted_join(large, low, ["a"])
+        now = cut(near.select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
@@ -203,35 +216,40 @@ def connected(edges: DataFrame) -> DataFrame:
 
 
 def components(prints: DataFrame) -> DataFrame:
-    """fp, root, component_id: the component of each distinct fingerprint of (doc_id, fp) and the smallest doc_id in it."""
-    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    """fp, n (rows with it), root, component_id: the component of each distinct fingerprint of (doc_id, fp) and the smallest doc_id in it."""
+    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")))
     roots = connected(links(distinct))
-    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    rooted = cut(rooted)
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(ids, "root").select("fp", "root", "component_id")
+    rooted = cut(distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", "rows", F.coalesce("root", "fp").alias("root")))
+    ids = cut(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n")))
+    return cut(counted_join(rooted, ids, ["root"]).select("fp", F.col("rows").alias("n"), "root", "component_id"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint, component_id: one row per document."""
     prints = cut(fingerprints(narrow(docs, "doc_id", "text"), "doc_id"))
-    return prints.join(components(prints), "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return counted_join(prints, components(prints), ["fp"]).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep(docs: DataFrame) -> DataFrame:
-    """The documents with one left of each component: the smallest doc_id, of rows that share it the one with the least key."""
-    keyed = narrow(docs, "doc_id", "text").select("doc_id", "text", *row_key())
-    prints = cut(fingerprints(keyed, "doc_id", "key_a", "key_b"))
-    return first_of(docs, prints.join(components(prints), "fp"))
+def firsts(prints: DataFrame, node: str) -> DataFrame:
+    """A node's first document (no_id, doc_id, key_a, key_b) and how many rows are equal to that; copies are counted before the shuffles."""
+    rows = prints.groupBy(node, "key_a", "key_b").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key_a", "key_b", "n"))
+    return rows.groupBy(node).agg(least.alias("first")).select(node, "first.*")
 
 
-def first_of(docs: DataFrame, rooted: DataFrame) -> DataFrame:
-    """The first document of each root by smallest doc_id, then least key; rooted has doc_id, key_a, key_b and root."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key_a", "key_b")).alias("first")
-    # partial minima come before the shuffle, so a large component is no large group
-    winners = rooted.groupBy("root").agg(first).select("first.key_a", "first.key_b").distinct()
-    whole = docs.select(F.struct(*columns).alias("document")).withColumns({c: F.col(f"document.{c}") for c in ("doc_id", "text")}).select("document", *row_key())
-    found = whole.join(winners, ["key_a", "key_b"], "left_semi")
+def first_of(docs: DataFrame, rooted: DataFrame, total: int) -> DataFrame:
+    """The first of docs' rows, ``total`` in all, for each root by smallest doc_id, then least key; rooted has the firsts of nodes and root."""
+    least = F.min(F.struct("no_id", "doc_id", "key_a", "key_b", "n")).alias("first")
+    winners = cut(rooted.groupBy("root").agg(least).select("first.key_a", "first.key_b", "first.n"))
+    whole = nested(docs, "doc_id", "text").select("document", *row_key())
+    # a winner with many equal rows is met by broadcast, and each task passes on one of them
+    found = counted_join(whole, winners, ["key_a", "key_b"], total)
     nth = F.row_number().over(Window.partitionBy("key_a", "key_b").orderBy(F.lit(1)))
     return found.withColumn("nth", nth).where("nth = 1").select("document.*")
+
+
+def keep(docs: DataFrame) -> DataFrame:
+    """The documents with one left of each component: the smallest doc_id, of rows that share it the one with the least key."""
+    keyed = narrow(docs, "doc_id", "text").select("doc_id", "text", *row_key())
+    prints = cut(fingerprints(keyed, "doc_id", "key_a", "key_b"))
+    return first_of(docs, firsts(prints, "fp").join(components(prints).select("fp", "root"), "fp"), prints.count())
