@@ -13,6 +13,8 @@ FILLERS = ("uh", "um", "ah", "er", "hmm")
 MIN_FACE_CONFIDENCE = 0.5
 SAMPLE_FRACTIONS = (1 / 3, 2 / 3)
 DECISION_THRESHOLD, DEFAULT_THRESHOLD = 0.19999999999999996, 0.5
+#: Not a fixed value: width of the time buckets of range joins, a few segments of a usual video.
+BUCKET_SECONDS = 60.0
 MIN_AUDIO_SECONDS, MIN_SAMPLE_SECONDS, MIN_RMS_FRAMES, SILENT_SNR = 0.1, 0.05, 5, 60.0
 
 META_COLUMNS = ("video_name", "segment_index", "segment_start", "segment_end")
@@ -24,6 +26,8 @@ TRANSCRIPT_COLUMNS = (
 TEMPORAL_COLUMNS = ("segment_duration", "relative_position")
 VISUAL_COLUMNS = ("face_area_ratio",)
 FEATURE_COLUMNS = AUDIO_COLUMNS + TRANSCRIPT_COLUMNS + TEMPORAL_COLUMNS + VISUAL_COLUMNS
+#: The short list of features that separate best.
+REDUCED_FEATURE_COLUMNS = ("word_count", "rms_std", "rms_mean", "confidence_mean", "face_area_ratio", "segment_duration", "speech_coverage", "speech_rate")
 LABEL = "label"
 
 

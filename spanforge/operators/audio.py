@@ -6,6 +6,7 @@ have 1 + n // 512 frames.  The spectrum needs Python; everything after the frame
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 from .. import config as C
 
 FRAME, HOP = 2048, 512
+#: Samples of a block of a long signal: ten seconds.
+BLOCK = 160_000
 
 
 def frame_values(y: np.ndarray, rate: int = C.AUDIO_RATE) -> tuple[np.ndarray, np.ndarray]:
@@ -30,6 +33,24 @@ def frame_values(y: np.ndarray, rate: int = C.AUDIO_RATE) -> tuple[np.ndarray, n
     return rms, np.divide(weighted, total, out=np.zeros_like(total), where=total > 1e-12)
 
 
+def resample(y: np.ndarray, own: int, rate: int = C.AUDIO_RATE, zeros: int = 16) -> np.ndarray:
+    """A signal of `own` samples a second at `rate`, by a windowed sinc at the lower of the two Nyquist rates."""
+    if own == rate or not len(y):
+        return np.asarray(y, np.float64)
+    cut = min(1.0, rate / own)
+    half = math.ceil(zeros / cut)
+    padded = np.pad(np.asarray(y, np.float64), half + 1)
+    taps = np.arange(1 - half, half + 1)
+    out = np.empty(-(-len(y) * rate // own))
+    for i in range(0, len(out), 4096):
+        at = np.arange(i, min(len(out), i + 4096)) * (own / rate)
+        first = np.floor(at).astype(np.int64)
+        x = (at - first)[:, None] - taps
+        weight = np.sinc(cut * x) * np.cos(np.pi * x / (2 * half)) ** 2
+        out[i : i + len(at)] = (padded[first[:, None] + taps + half + 1] * weight).sum(1) / weight.sum(1)
+    return out
+
+
 def frames_of(samples: DataFrame, column: str = "y", rate: int = C.AUDIO_RATE) -> DataFrame:
     """Add rms and centroid, arrays of frame values; null for missing signals and those under 0.05 s."""
     kinds = ", ".join(f"`{k}` {t}" for k, t in samples.dtypes if k != column)
@@ -79,8 +100,26 @@ def audio_features(segments: DataFrame, samples: DataFrame, rate: int = C.AUDIO_
     return segments.join(found, key, "left").select(*segments.columns, *[F.when(long_enough, F.col(c)).alias(c) for c in C.AUDIO_COLUMNS])
 
 
-def segment_samples(segments: DataFrame, signals: DataFrame, rate: int = C.AUDIO_RATE) -> DataFrame:
-    """Cut decoded signals (video_id, y) into one array per segment."""
-    at = F.floor(F.col("segment_start") * rate).cast("int")
-    n = F.greatest(F.lit(0), F.floor((F.col("segment_end") - F.col("segment_start")) * rate).cast("int"))
-    return segments.join(signals, "video_id").select("video_id", "segment_index", F.slice("y", at + 1, n).alias("y"))
+def blocks_of(signals: DataFrame, size: int = BLOCK) -> DataFrame:
+    """video_id, block, y: whole signals (video_id, y) as blocks of `size` samples."""
+    many = F.ceil(F.size("y") / size).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), many - 1), lambda i: F.slice("y", i * size + 1, size))
+    return signals.where(F.size("y") > 0).select("video_id", F.posexplode(cut).alias("block", "y"))
+
+
+def segment_samples(segments: DataFrame, blocks: DataFrame, rate: int = C.AUDIO_RATE, size: int = BLOCK) -> DataFrame:
+    """video_id, segment_index, y of every segment that meets a signal, given in blocks.
+
+    A segment is joined with the blocks it meets and takes its part of each, so what moves is what is used, however long the video.
+    """
+    at = F.floor(F.col("segment_start") * rate).cast("bigint")
+    end = at + F.floor((F.col("segment_end") - F.col("segment_start")) * rate).cast("bigint")
+    placed = segments.select("video_id", "segment_index", at.alias("at"), end.alias("end")).where("end > at AND at >= 0")
+    met = F.sequence(F.floor(F.col("at") / size).cast("int"), F.floor((F.col("end") - 1) / size).cast("int"))
+    each = placed.withColumn("block", F.explode(met)).join(blocks, ["video_id", "block"])
+    begin = F.col("block").cast("bigint") * size
+    first, past = F.greatest(F.col("at") - begin, F.lit(0)), F.least(F.col("end") - begin, F.lit(size))
+    part = F.slice("y", (first + 1).cast("int"), (past - first).cast("int"))
+    parts = each.select("video_id", "segment_index", F.struct("block", part.alias("part")).alias("p"))
+    whole = F.flatten(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["part"]))
+    return parts.groupBy("video_id", "segment_index").agg(whole.alias("y"))

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,11 +23,15 @@ def fit_scaler(rows: DataFrame, features: list[str]) -> DataFrame:
     return stats.select(F.explode(long).alias("p")).select("p.*")
 
 
-def scale(rows: DataFrame, params: DataFrame, features: list[str]) -> DataFrame:
-    """(x - centre) / scale.  There is one parameter row per feature, so they become literals of the plan."""
+def scaled(params: DataFrame, features: list[str]) -> dict[str, Column]:
+    """(x - centre) / scale of each feature.  There is one parameter row per feature, so they become literals of the plan."""
     known = {r["feature"]: (r["centre"], r["scale"]) for r in params.where(F.col("feature").isin(*features)).collect()}
     number = lambda v: F.lit(v).cast("double")
-    done = {c: (F.col(c) - number(known[c][0])) / number(known[c][1]) for c in features}
+    return {c: (F.col(c) - number(known[c][0])) / number(known[c][1]) for c in features}
+
+
+def scale(rows: DataFrame, params: DataFrame, features: list[str]) -> DataFrame:
+    done = scaled(params, features)
     return rows.select(*[done[c].alias(c) if c in done else F.col(f"`{c}`") for c in rows.columns])
 
 
@@ -55,6 +59,17 @@ def train_forest(rows: DataFrame, features: list[str], trees: int = 100, seed: i
     return RandomForestClassifier(numTrees=trees, seed=seed, featuresCol="features", labelCol="label").fit(data)
 
 
+class Threshold:
+    """A model with the probability `low` where the only feature is below `cut`, and `high` from there on."""
+
+    def __init__(self, cut: float, low: float = 0.0, high: float = 1.0) -> None:
+        self.cut, self.low, self.high = cut, low, high
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        p = F.when(vector_to_array("features")[0] >= self.cut, F.lit(self.high)).otherwise(F.lit(self.low))
+        return rows.withColumn("probability", array_to_vector(F.array(1 - p, p)))
+
+
 def with_confidence(rows: DataFrame, model, features: list[str], threshold: float = C.DEFAULT_THRESHOLD) -> DataFrame:
     """Add confidence and predicted by a model's probability, or predicted alone and a null confidence without one."""
     out = model.transform(assemble(rows, features))
@@ -65,7 +80,6 @@ def with_confidence(rows: DataFrame, model, features: list[str], threshold: floa
 
 
 def score(rows: DataFrame, params: DataFrame, model, features: list[str] = list(C.FEATURE_COLUMNS), threshold: float = C.DECISION_THRESHOLD) -> DataFrame:
-    """Scale, then impute, then decide; the given feature columns come out as they went in."""
-    inner = with_confidence(impute(scale(rows, params, features), features), model, features, threshold)
-    key = ["video_name", "segment_index"]
-    return rows.join(inner.select(*key, "confidence", "predicted"), key)
+    """Scale, then impute, then decide, all in columns of their own: the given columns come out as they went in, one row for each row."""
+    own = {f"_input_{i}": imputed(x) for i, x in enumerate(scaled(params, features).values())}
+    return with_confidence(rows.withColumns(own), model, list(own), threshold).drop(*own)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from functools import reduce
 from operator import add
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +37,10 @@ def candidates(frames: DataFrame, settings: ShotSettings = ShotSettings()) -> Da
     return cut_ratio(frames, settings).where((F.col("ratio") >= settings.adaptive_threshold) & (F.col("score") >= settings.min_content_val))
 
 
+#: Kept points are collected in lists of this size, so that a point is copied with its list and not with all before it.
+_LIST = 256
+
+
 def greedy_min_gap(points: DataFrame, at: str, gap: float) -> DataFrame:
     """From left to right, keep each point at least `gap` after the last kept one (a distance of exactly `gap` is enough).
 
@@ -41,12 +48,15 @@ def greedy_min_gap(points: DataFrame, at: str, gap: float) -> DataFrame:
     """
     kind = dict(points.dtypes)[at]
     ordered = points.groupBy("video_id").agg(F.array_sort(F.collect_list(at)).alias("all"))
-    none = F.array().cast(f"array<{kind}>")
-    far = lambda kept, x: (F.size(kept["out"]) == 0) | (x - kept["last"] >= gap)
-    start = F.struct(none.alias("out"), F.lit(None).cast(kind).alias("last"))
-    # only the last kept point is looked at, and the list is reassembled per kept point
-    step = lambda k, x: F.when(far(k, x), F.struct(F.concat(k["out"], F.array(x)).alias("out"), x.alias("last"))).otherwise(k)
-    kept = F.aggregate("all", start, step, lambda k: k["out"])
+    state = F.struct(F.array().cast(f"array<array<{kind}>>").alias("full"), F.array().cast(f"array<{kind}>").alias("open"), F.lit(None).cast(kind).alias("last"))
+
+    def step(s: Column, x: Column) -> Column:
+        crowded = F.size(s["open"]) >= _LIST
+        full = F.when(crowded, F.concat(s["full"], F.array(s["open"]))).otherwise(s["full"])
+        longer = F.struct(full.alias("full"), F.when(crowded, F.array(x)).otherwise(F.concat(s["open"], F.array(x))).alias("open"), x.alias("last"))
+        return F.when(s["last"].isNull() | (x - s["last"] >= gap), longer).otherwise(s)
+
+    kept = F.aggregate("all", state, step, lambda s: F.concat(F.flatten(s["full"]), s["open"]))
     return ordered.select("video_id", F.explode(kept).alias(at))
 
 
@@ -66,27 +76,26 @@ def flash_verdicts(cuts: DataFrame, stats: DataFrame, diffs: DataFrame, settings
 
     ``stats`` has brightness and readable per frame, ``diffs`` the mean absolute difference per (before_index, after_index).  A cut goes when the
     brightest frame around it jumps over a frame shortly before, and the frames before and after it look alike.
+
+    All frames that a cut may look at are met in one join and kept as a map of brightness by frame.
     """
     back, ahead = settings.look_back, settings.look_ahead
     last = stats.groupBy("video_id").agg(F.max("frame_index").alias("last"))
     readable = stats.where("readable").select("video_id", F.col("frame_index").alias("look"), "brightness")
-    placed = cuts.join(last, "video_id").withColumns({"before": F.greatest(F.lit(0), F.col("scene_start") - back), "after": F.least(F.col("last"), F.col("scene_start") + ahead)})
-    seen = placed.withColumn("offset", F.explode(F.sequence(F.lit(-back), F.lit(ahead)))).withColumn("look", F.least(F.col("last"), F.greatest(F.lit(0), F.col("scene_start") + F.col("offset")))).join(readable, ["video_id", "look"])
-    peaks = seen.groupBy("video_id", "scene_start").agg(F.max(F.struct("brightness", (-F.col("offset")).alias("first"), "look")).alias("best")).select("video_id", "scene_start", F.col("best.look").alias("peak"), F.col("best.brightness").alias("peak_brightness"))
-    at = lambda name, value: readable.select("video_id", F.col("look").alias(name), F.col("brightness").alias(value))
-    joined = (
-        placed.join(peaks, ["video_id", "scene_start"], "left")
-        .withColumn("reference", F.greatest(F.lit(0), F.col("peak") - back))
-        .join(at("before", "before_brightness"), ["video_id", "before"], "left")
-        .join(at("reference", "reference_brightness"), ["video_id", "reference"], "left")
-        .join(at("after", "after_brightness"), ["video_id", "after"], "left")
-        .join(diffs.select("video_id", F.col("before_index").alias("before"), F.col("after_index").alias("after"), "mean_abs_diff"), ["video_id", "before", "after"], "left")
-    )
-    known = F.col("before_brightness").isNotNull() & F.col("reference_brightness").isNotNull() & F.col("after_brightness").isNotNull()
-    jumps = F.col("peak_brightness") - F.col("reference_brightness") > settings.flash_brightness_jump
-    alike = F.col("mean_abs_diff") <= settings.flash_similarity_threshold
-    drop = (F.col("scene_start") != 0) & F.coalesce(known & jumps & alike, F.lit(False))
-    return joined.select("video_id", "scene_start", "peak", (~drop).alias("keep"))
+    held = lambda i: F.least(F.col("last"), F.greatest(F.lit(0), i))
+    at = F.col("scene_start")
+    placed = cuts.join(last, "video_id").withColumns({"before_index": F.greatest(F.lit(0), at - back), "after_index": held(at + ahead)})
+    # a reference lies `back` before a peak, so at most twice that before the cut; frames beyond the ends are those at the ends
+    looks = placed.withColumn("look", F.explode(F.sequence(F.greatest(F.lit(0), F.least(F.col("last"), at) - 2 * back), held(at + ahead))))
+    seen = looks.join(readable, ["video_id", "look"]).groupBy("video_id", "scene_start").agg(F.map_from_entries(F.collect_list(F.struct("look", "brightness"))).alias("seen"))
+    known = placed.join(seen, ["video_id", "scene_start"], "left").join(diffs.select("video_id", "before_index", "after_index", "mean_abs_diff"), ["video_id", "before_index", "after_index"], "left")
+    around = F.transform(F.sequence(F.lit(-back), F.lit(ahead)), lambda o: F.struct(F.col("seen")[held(at + o)].alias("brightness"), (-o).alias("first"), held(at + o).alias("look")))
+    best = F.array_max(F.filter(around, lambda x: x["brightness"].isNotNull()))
+    peaked = known.withColumn("best", best).withColumn("peak", F.col("best.look")).withColumn("reference", F.col("seen")[F.greatest(F.lit(0), F.col("peak") - back)])
+    jumps = F.col("best.brightness") - F.col("reference") > settings.flash_brightness_jump
+    alike = F.col("seen")[F.col("before_index")].isNotNull() & F.col("seen")[F.col("after_index")].isNotNull() & (F.col("mean_abs_diff") <= settings.flash_similarity_threshold)
+    drop = (at != 0) & F.coalesce(jumps & alike, F.lit(False))
+    return peaked.select("video_id", "scene_start", "peak", (~drop).alias("keep"))
 
 
 def filter_flash_cuts(cuts: DataFrame, stats: DataFrame, diffs: DataFrame, settings: ShotSettings = ShotSettings()) -> DataFrame:
@@ -117,3 +126,46 @@ def shot_documents(shots: DataFrame, videos: DataFrame, settings: ShotSettings =
 def new_videos(videos: DataFrame, written: DataFrame) -> DataFrame:
     """The videos that have no shot document yet."""
     return videos.join(written.select("video_id").distinct(), "video_id", "left_anti")
+
+
+def detect_documents(frames: DataFrame, videos: DataFrame, diffs: DataFrame, written: DataFrame | None = None, settings: ShotSettings = ShotSettings()) -> DataFrame:
+    """From scored frames to shot documents, for the videos that have none yet: cuts, flash filter, times, document.
+
+    ``frames`` has score, brightness and readable per (video_id, frame_index).  A video without cuts gets a document without times.
+    """
+    left = videos if written is None else new_videos(videos, written)
+    own = frames.join(left.select("video_id"), "video_id", "left_semi")
+    cuts = filter_flash_cuts(detect(own, settings), own.select("video_id", "frame_index", "brightness", "readable"), diffs, settings)
+    return shot_documents(shot_times(cuts, left), left, settings)
+
+
+def frame_pairs(frames: DataFrame) -> DataFrame:
+    """Each frame with the one before it: video_id, frame_index, content, previous (null for the first)."""
+    order = Window.partitionBy("video_id").orderBy("frame_index")
+    return frames.select("video_id", "frame_index", "content", F.lag("content").over(order).alias("previous"))
+
+
+def frame_deltas(pairs: DataFrame, components: Callable[[bytes], list[np.ndarray] | None]) -> DataFrame:
+    """video_id, frame_index and mean absolute changes of hue, saturation, luma and edges against the frame before; zero for the first.
+
+    ``components`` decodes a frame to those four arrays, or to None if it cannot; such a frame counts as unchanged.
+    """
+    names = ("delta_hue", "delta_sat", "delta_lum", "delta_edges")
+
+    def change(now: bytes | None, before: bytes | None) -> list[float]:
+        a, b = (components(bytes(x)) if x is not None else None for x in (now, before))
+        if a is None or b is None:
+            return [0.0] * 4
+        return [float(np.abs(x.astype(np.float64) - y).mean()) for x, y in zip(a, b, strict=True)]
+
+    def over(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            rows = [change(a, b) for a, b in zip(pdf["content"], pdf["previous"], strict=True)]
+            yield pdf[["video_id", "frame_index"]].assign(**{n: [r[i] for r in rows] for i, n in enumerate(names)})
+
+    return pairs.mapInPandas(over, "video_id string, frame_index int, " + ", ".join(f"{n} double" for n in names))
+
+
+def with_scores(deltas: DataFrame, settings: ShotSettings = ShotSettings()) -> DataFrame:
+    names = ("delta_hue", "delta_sat", "delta_lum", "delta_edges")
+    return deltas.select("video_id", "frame_index", content_score([F.col(n) for n in names], settings).alias("score"))

@@ -50,6 +50,24 @@ def frames(ev: DataFrame) -> DataFrame:
     return ev.select("video_id", at, F.col("value").alias("score"), F.col("value").alias("brightness"), (F.col("event_id") % 11 != 0).alias("readable"))
 
 
+#: Time of the stand-ins is that of events, so range joins deal it out by days.
+WIDTH = 86_400.0
+
+
+def samples(segments: DataFrame) -> DataFrame:
+    """Silence of 2,048 samples for every other segment."""
+    return segments.where("segment_index % 2 = 0").select("video_id", "segment_index", F.array_repeat(F.lit(0.0).cast("float"), 2048).alias("y"))
+
+
+def faces(segments: DataFrame) -> DataFrame:
+    """Two sampled frames of 100 by 200 for two segments in three; one box in the first, two in the second."""
+    i = F.col("segment_index")
+    box = lambda w, h: F.struct(F.lit(0.0).alias("x1"), F.lit(0.0).alias("y1"), w.cast("double").alias("x2"), h.cast("double").alias("y2"), F.lit(1.0).alias("conf"))
+    first, second = F.array(box(i % 50, F.lit(10))), F.array(box(F.lit(20), i % 30), box(F.lit(5), F.lit(7)))
+    shown = segments.where("segment_index % 3 <> 0").select("video_id", "segment_index", F.explode(F.array(F.struct(F.lit(0).alias("no"), first.alias("boxes")), F.struct(F.lit(1).alias("no"), second.alias("boxes")))).alias("f"))
+    return shown.select("video_id", "segment_index", F.col("f.no").alias("sample_no"), F.lit(100).alias("height"), F.lit(200).alias("width"), F.col("f.boxes").alias("boxes"))
+
+
 BASE = """
 ev AS (SELECT event_id, user_id, CAST(user_id AS VARCHAR) AS video_id, event_type, value, props, epoch_us(ts) / 1e6::DOUBLE AS t FROM events),
 videos AS (SELECT video_id, 'clip_lov' || video_id || 'rp1.mp4' AS video_name, max(t) + 60 AS duration, CASE WHEN CAST(video_id AS BIGINT) % 2 = 0 THEN 25.0::DOUBLE ELSE 29.97::DOUBLE END AS fps FROM ev GROUP BY video_id),

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .functions.ids import frame_file
+from .functions.ids import frame_file, transcript_file
 
 
 def prediction_documents(scored: DataFrame, ranges: DataFrame) -> DataFrame:
@@ -27,6 +31,17 @@ def write_documents(documents: DataFrame, path: str, by: str = "video_id") -> No
     documents.select(by, F.col("document").alias("value")).write.mode("overwrite").partitionBy(by).text(path)
 
 
+def transcript_documents(transcripts: DataFrame) -> DataFrame:
+    """video_id, file_name, document: raw transcripts (video_id, path, document) as indented JSON; one that is no JSON fails the query."""
+
+    def over(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            yield pdf.assign(document=[json.dumps(json.loads(d), ensure_ascii=False, indent=2) for d in pdf["document"]])
+
+    named = transcripts.select("video_id", transcript_file(F.col("path")).alias("file_name"), "document")
+    return named.mapInPandas(over, "video_id string, file_name string, document string")
+
+
 def write_frames(frames: DataFrame, path: str) -> None:
     """Sampled frames as Parquet with the file name each would have."""
     name = frame_file(F.col("video_name"), F.col("segment_index"), F.col("sample_no"))

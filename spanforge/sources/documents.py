@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -19,14 +19,20 @@ def read_whole(spark: SparkSession, path: str, glob: str = "*.json") -> DataFram
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("document"))
 
 
+def entries(document: Column) -> Column:
+    """key, value (as JSON text) of an object's entries in order; a repeated key has its last value, at the place of the first."""
+    all_ = F.map_entries(F.from_json(document, "map<string,string>"))
+    keys = F.array_distinct(F.transform(all_, lambda e: e["key"]))
+    return F.transform(keys, lambda k: F.struct(k.alias("key"), F.element_at(F.filter(all_, lambda e: e["key"] == k), -1)["value"].alias("value")))
+
+
 def parse_shots(documents: DataFrame, fps: float = C.FRAMES_PER_SECOND, strict: bool = True) -> DataFrame:
     """Add shot_times, the times of a document's first object that has timecodes or seconds.
 
     Entries are taken in document order; seconds, even an empty list of them, come before timecodes.  A document without such an entry
     fails the query, or gives null if not strict.
     """
-    entries = F.map_entries(F.from_json("document", "map<string,string>"))
-    objects = F.filter(entries, lambda e: F.ltrim(e["value"]).startswith("{"))
+    objects = F.filter(entries(F.col("document")), lambda e: F.ltrim(e["value"]).startswith("{"))
     parsed = F.transform(objects, lambda e: F.from_json(e["value"], S.SHOT_ENTRY))
     usable = F.filter(parsed, lambda e: e["timecode"].isNotNull() | e["timecodes_seconds"].isNotNull())
     first = F.get(usable, F.lit(0))
@@ -57,8 +63,8 @@ def audio_segments(videos: DataFrame, transcripts: DataFrame) -> DataFrame:
 
 def uri_map(documents: DataFrame) -> DataFrame:
     """media_id, uri of a map from URIs to objects with s3_uri; the id comes from s3_uri, else the URI, and the last entry wins."""
-    entries = documents.select(F.posexplode(F.map_entries(F.from_json("document", "map<string,string>"))).alias("pos", "e"))
-    objects = entries.where(F.ltrim(F.col("e.value")).startswith("{")).select("pos", F.col("e.key").alias("uri"), F.get_json_object("e.value", "$.s3_uri").alias("s3_uri"))
+    each = documents.select(F.posexplode(entries(F.col("document"))).alias("pos", "e"))
+    objects = each.where(F.ltrim(F.col("e.value")).startswith("{")).select("pos", F.col("e.key").alias("uri"), F.get_json_object("e.value", "$.s3_uri").alias("s3_uri"))
     named = objects.withColumn("media_id", F.coalesce(media_id(F.col("s3_uri")), media_id(F.col("uri")))).where("media_id is not null")
     return last_wins(named, "media_id", "uri", "pos")
 

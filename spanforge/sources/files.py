@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import io
+import wave
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import config as C
 from ..functions.ids import base_name, checked_s3, media_id, stem
+from ..operators.audio import BLOCK, resample
 
 VIDEO, TRANSCRIPT, SHOTS = ".MP4", "_transcript_raw.json", "_weighted_adaptive_prediction.json"
 
@@ -82,13 +87,32 @@ def decode(files: DataFrame, decoder: Callable[[bytes], dict], schema: str) -> D
     return files.select("path", "content").mapInPandas(over, f"path string, {schema}")
 
 
-def decode_wav(content: bytes) -> dict:
-    """Duration and mono samples of a 16-bit PCM WAV file."""
-    import io
-    import wave
+def decode_wav(content: bytes, rate: int = C.AUDIO_RATE) -> dict:
+    """Duration and mono samples, at `rate`, of a PCM WAV file of 8, 16, 24 or 32 bits."""
+    with wave.open(io.BytesIO(content)) as w:
+        raw, width, channels, own, n = w.readframes(w.getnframes()), w.getsampwidth(), w.getnchannels(), w.getframerate(), w.getnframes()
+    if width == 1:  # the only unsigned width
+        y = (np.frombuffer(raw, np.uint8).astype(np.float64) - 128) / 128
+    elif width == 3:
+        high = np.zeros((len(raw) // 3, 4), np.uint8)
+        high[:, 1:] = np.frombuffer(raw, np.uint8).reshape(-1, 3)
+        y = high.view("<i4")[:, 0] / 2**31
+    elif width in (2, 4):
+        y = np.frombuffer(raw, f"<i{width}") / 2 ** (8 * width - 1)
+    else:
+        raise ValueError(f"WAV samples of {width} bytes")
+    return {"duration": n / own, "y": resample(y.reshape(-1, channels).mean(axis=1), own, rate).astype(np.float32)}
+
+
+def decode_audio(files: DataFrame, decoder: Callable[[bytes], dict] = decode_wav, size: int = BLOCK) -> DataFrame:
+    """path, duration, block, y of audio files, cut into blocks where they are decoded; a silent file of no samples has no row."""
 
-    import numpy as np
+    def over(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            for path, content in zip(pdf["path"], pdf["content"], strict=True):
+                told = decoder(bytes(content))
+                y = np.asarray(told["y"], np.float32)
+                for at in range(0, len(y), size):
+                    yield pd.DataFrame([{"path": path, "duration": told["duration"], "block": at // size, "y": y[at : at + size]}])
 
-    with wave.open(io.BytesIO(content)) as w:
-        y = np.frombuffer(w.readframes(w.getnframes()), "<i2").reshape(-1, w.getnchannels()).mean(axis=1) / 32768
-        return {"duration": w.getnframes() / w.getframerate(), "y": y.astype("float32").tolist()}
+    return files.select("path", "content").mapInPandas(over, "path string, duration double, block int, y array<float>")

@@ -1,7 +1,9 @@
 """Golden cases, properties and end-to-end runs of the segment engine."""
 
+import io
 import json
 import math
+import wave
 
 import numpy as np
 import pytest
@@ -10,10 +12,10 @@ from pyspark.sql import functions as F
 from spanforge import config as C
 from spanforge import sinks
 from spanforge.functions import ids, timecode
-from spanforge.operators import audio, islands, labels, scoring, segments, shots, transcript, visual
+from spanforge.operators import audio, detectors, labels, scoring, segments, shots, transcript, visual
 from spanforge.operators.range_join import overlapping, points_in_segments
 from spanforge.plans import features as plan
-from spanforge.sources import documents, files
+from spanforge.sources import documents, files, media, remote
 from spanforge.streaming import incremental
 
 
@@ -254,3 +256,229 @@ def test_incremental_stream(spark, tmp_path):
     given.shots.where("video_id = 'b'").write.mode("append").parquet(land)
     run()
     assert sorted(r.video_id for r in spark.read.parquet(out).collect()) == ["a", "a", "a", "b"]
+
+
+def wav(y, rate, width=2, channels=1):
+    """A PCM file of values between -1 and 1."""
+    out = io.BytesIO()
+    with wave.open(out, "wb") as w:
+        w.setnchannels(channels), w.setsampwidth(width), w.setframerate(rate)
+        full = np.clip(np.repeat(y, channels), -1, 1) * (2 ** (8 * width - 1) - 1)
+        raw = (np.round(full) + 128).astype(np.uint8).tobytes() if width == 1 else np.round(full).astype("<i8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+        w.writeframes(raw)
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("width", [1, 2, 3, 4])
+@pytest.mark.parametrize(("rate", "channels"), [(48_000, 2), (44_100, 1), (16_000, 1), (8_000, 1)])
+def test_wav_becomes_16_khz_mono(rate, channels, width):
+    t = np.arange(rate) / rate
+    told = files.decode_wav(wav(0.5 * np.sin(2 * math.pi * 1000 * t), rate, width, channels))
+    assert told["duration"] == 1 and len(told["y"]) == 16_000
+    rms, centroid = audio.frame_values(told["y"])
+    assert centroid[15] == pytest.approx(1000, rel=0.35 if width == 1 else 0.03) and rms[15] == pytest.approx(0.5 * math.sqrt(0.5), rel=0.02)
+
+
+def test_silent_wav_of_8_bits():
+    y = files.decode_wav(wav(np.zeros(16_000), 16_000, 1))["y"]
+    assert len(y) == 16_000 and not y.any()
+
+
+def test_audio_of_segments_in_blocks(spark, tmp_path):
+    rng = np.random.default_rng(0)
+    y = rng.uniform(-1, 1, 50_000)
+    (tmp_path / "a.wav").write_bytes(wav(y, 16_000, 4))
+    content = spark.read.format("binaryFile").load(str(tmp_path))
+    blocks = files.decode_audio(content, size=7000).select(F.lit("v").alias("video_id"), "block", "y")
+    cut = audio.segment_samples(segs(spark, (0, 1), (1, 2.5), (2.5, 9), (9, 12), (5, 5)), blocks, size=7000).collect()
+    got = {r.segment_index: np.array(r.y) for r in cut}
+    assert set(got) == {0, 1, 2}
+    for i, (a, b) in enumerate(((0, 16_000), (16_000, 40_000), (40_000, 50_000))):
+        assert got[i] == pytest.approx(y[a:b], abs=1e-6)
+    same = audio.blocks_of(blocks.groupBy("video_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("block", "y"))), lambda x: x["y"])).alias("y")), 7000)
+    assert sorted(map(str, same.collect())) == sorted(map(str, blocks.collect()))
+
+
+def test_media_tools(spark):
+    """The plans around ffprobe and ffmpeg, with a stand-in that answers their commands."""
+    sound = wav(np.linspace(-1, 1, 40_000), 16_000)
+
+    def start(command):
+        if command[0] == "ffprobe":
+            return 0, b"12.5\n"
+        if "wav" in command:
+            assert command[command.index("-ar") + 1] == "16000" and command[command.index("-ac") + 1] == "1"
+            return 0, sound[:40] + b"\xff\xff\xff\xff" + sound[44:]  # as written to a pipe
+        return (0, b"jpeg at " + command[command.index("-ss") + 1].encode()) if float(command[command.index("-ss") + 1]) < 2 else (1, b"")
+
+    v = spark.createDataFrame([("v", "/x/v.mp4")], "video_id string, path string")
+    assert media.durations(v, start).first().duration == 12.5
+    blocks = media.audio(v, start, size=16_000).orderBy("block").collect()
+    assert [len(b.y) for b in blocks] == [16_000, 16_000, 8_000] and blocks[0].y[0] == pytest.approx(-1, abs=1e-4)
+    samples = segments.sample_times(segs(spark, (0, 3), (3, 6)))
+    got = {(r.segment_index, r.sample_no): r.content for r in media.frames_at(samples, v, start).collect()}
+    assert got[(0, 0)] == b"jpeg at 1.0" and got[(1, 1)] is None and len(got) == 4
+    with pytest.raises(Exception, match="ffprobe ended with 1"):
+        media.durations(v, lambda c: (1, b"")).collect()
+
+
+def test_sampled_frames_to_face_ratio(spark):
+    """Sample times, frames by index, detector, ratio; frames that are missing or unreadable have no say."""
+    frames = spark.createDataFrame([("v", i, f"{i}".encode()) for i in range(0, 200, 2)], "video_id string, frame_index int, content binary")
+    met = visual.frame_lookup(segments.sample_times(segs(spark, (0, 3), (3, 6), (6, 7))), frames, 25)
+    assert sorted((r.segment_index, r.sample_no, r.frame_index) for r in met.collect()) == [(0, 1, 50), (1, 0, 100), (2, 0, 158)]
+
+    def load():
+        return lambda content: (100, 100, [(0, 0, int(content) / 2, 10, 1)]) if content != b"100" else None
+
+    found = visual.detect_faces(met.select("video_id", "segment_index", "sample_no", "content"), load)
+    got = {r.segment_index: r.face_area_ratio for r in visual.visual_features(segs(spark, (0, 3), (3, 6), (6, 7)), found).collect()}
+    assert got == {0: 0.025, 1: 0.0, 2: 0.079}
+
+
+def test_detected_boxes():
+    found = np.array([[[[0, 1, 0.9, -0.1, 0.2, 0.5, 1.2], [0, 1, 0.4, 0, 0, 1, 1], [0, 1, 0.5, 0.25, 0, 1, 0.5]]]])
+    assert detectors.boxes_in_pixels(found, 100, 200) == [(0, 20, 100, 100, 0.9), (50, 0, 200, 50, 0.5)]
+    with pytest.raises((ImportError, FileNotFoundError)):
+        detectors.network("/nowhere")()
+
+
+def pixel_reader():
+    """The reader as a closure, which reaches workers that cannot import this file."""
+    return lambda content: np.frombuffer(content, np.uint8).reshape(2, 2) if len(content) == 4 else None
+
+
+def test_frame_statistics_and_differences(spark):
+    pixels = pixel_reader()
+    frames = spark.createDataFrame([("v", 0, bytes([0, 0, 4, 4])), ("v", 1, b"bad"), ("v", 2, None)], "video_id string, frame_index int, content binary")
+    got = {r.frame_index: (r.brightness, r.readable) for r in visual.frame_statistics(frames, pixels).collect()}
+    assert got == {0: (2.0, True), 1: (None, False), 2: (None, False)}
+    pairs = spark.createDataFrame([("v", 0, 4, bytes([0, 0, 0, 8]), bytes([4, 0, 0, 0]))], "video_id string, before_index int, after_index int, before binary, after binary")
+    assert [tuple(r) for r in visual.frame_differences(pairs, pixels).collect()] == [("v", 0, 4, 3.0)]
+
+
+def test_shots_from_frames_to_documents(spark):
+    """Decoded frames to scores, cuts, flash filter and documents in one go; written videos are left out."""
+    levels = [10] * 20 + [200] * 20 + [60] * 20
+    levels[50] = 250  # a flash
+    pixels = pixel_reader()
+    frames = spark.createDataFrame([(v, i, bytes([x] * 4)) for v in ("v", "old") for i, x in enumerate(levels)], "video_id string, frame_index int, content binary")
+    own = C.ShotSettings(min_scene_len=5)
+    deltas = shots.frame_deltas(shots.frame_pairs(frames), lambda c: [pixels(c)] * 4)
+    scores = {r.frame_index: r.score for r in shots.with_scores(deltas, own).where("video_id = 'v'").collect()}
+    assert scores[0] == 0 and scores[20] == 190 and scores[21] == 0 and scores[50] == 190
+    stats = visual.frame_statistics(frames, pixels)
+    scored = shots.with_scores(deltas, own).join(stats, ["video_id", "frame_index"])
+    at = lambda n, c: frames.select("video_id", F.col("frame_index").alias(n), F.col("content").alias(c))
+    around = at("before_index", "before").join(at("after_index", "after"), "video_id").where("after_index - before_index = 4")
+    v = videos(spark, ("v", "v.mp4", 3.0, 25.0), ("old", "old.mp4", 3.0, 25.0), ("still", "still.mp4", 3.0, 25.0))
+    made = shots.detect_documents(scored, v, visual.frame_differences(around, pixels), spark.createDataFrame([("old",)], "video_id string"), own)
+    got = {r.video_id: r.shot_times for r in documents.parse_shots(made).collect()}
+    assert got == {"v": [0.0, 0.8, 1.6], "still": []}
+
+
+def test_repeated_keys_in_documents(spark):
+    """The last value of a repeated key counts, at the place of the first."""
+    docs = ['{"v":{"timecodes_seconds":[1.0]},"v":{"timecodes_seconds":[2.0]}}', '{"a":{"timecodes_seconds":[1.0]},"b":{"timecodes_seconds":[2.0]},"a":{"timecodes_seconds":[3.0]}}']
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "video_id int, document string")
+    assert {r.video_id: r.shot_times for r in documents.parse_shots(df).collect()} == {0: [2.0], 1: [3.0]}
+    assert [list(json.loads(d).values()).pop(0)["timecodes_seconds"] for d in docs] == [[2.0], [3.0]]
+
+
+def test_two_videos_of_one_name_are_scored_once(spark):
+    given = inputs(spark)
+    v = videos(spark, ("a", "same.mp4", 20.0, 25.0), ("b", "same.mp4", 10.0, 25.0))
+    params = spark.createDataFrame([("word_count", 0.0, 1.0)], "feature string, centre double, scale double")
+    scored, _, docs = plan.infer(plan.Inputs(v, given.shots, given.words, given.audio_segments), params, scoring.Threshold(6.0), 0.5, ["word_count"])
+    assert sorted((r.video_id, r.segment_index, r.predicted) for r in scored.collect()) == [("a", 0, 0), ("a", 1, 1), ("a", 2, 0), ("b", 0, 0)]
+    assert docs.count() == 2 and set(C.REDUCED_FEATURE_COLUMNS) < set(C.FEATURE_COLUMNS)
+
+
+def test_two_shot_files_give_rows_twice(spark):
+    given = inputs(spark)
+    listing = spark.createDataFrame([("a", "1.json"), ("a", "2.json"), ("b", "3.json")], "video_id string, shot_file string")
+    own = spark.createDataFrame([("1.json", 0, 0.0), ("2.json", 0, 0.0), ("2.json", 1, 5.0), ("3.json", 0, 0.0)], "video_id string, shot_index int, shot_time double")
+    rows = plan.features(plan.per_shot_file(plan.Inputs(given.videos, own, given.words, given.audio_segments, truth=given.truth), listing)).collect()
+    assert sorted((r.video_name, r.segment_start, r.word_count) for r in rows) == [("lov1rp1.mp4", 0.0, 5.0), ("lov1rp1.mp4", 0.0, 15.0), ("lov1rp1.mp4", 5.0, 10.0), ("lov2rp1.mp4", 0.0, 0.0)]
+
+
+def test_bucketed_labels_equal_plain_ones(spark):
+    rng = np.random.default_rng(1)
+    s = segs(spark, *[(a, a + d) for a, d in zip(rng.uniform(0, 100, 60), rng.uniform(-1, 12, 60))])
+    t = spark.createDataFrame([("v", float(a), float(a + d)) for a, d in zip(rng.uniform(0, 100, 40), rng.uniform(-1, 9, 40))], "video_id string, gt_start double, gt_end double")
+    key = lambda df: sorted(map(str, df.collect()))
+    for width in (0.7, 5.0, 300.0):
+        assert key(labels.label_segments(s, t, width)) == key(labels.label_segments(s, t)) and key(labels.positives(s, t, width)) == key(labels.positives(s, t))
+
+
+def test_min_gap_over_many_points(spark):
+    rng = np.random.default_rng(2)
+    at = np.unique(rng.integers(0, 20_000, 3000)).tolist()
+    kept = []
+    for x in at:
+        if not kept or x - kept[-1] >= 7:
+            kept.append(x)
+    p = spark.createDataFrame([("v", x) for x in at], "video_id string, at int")
+    assert len(kept) > 1000 and sorted(r["at"] for r in shots.greedy_min_gap(p, "at", 7).collect()) == kept
+
+
+def store():
+    """A factory of stand-ins for the object store and the transcription service."""
+
+    class Store:
+        sizes = {"k/a.mp4": 3, "k/b.mp4": 5, "k/c.mp4": 4}
+
+        def head_object(self, Bucket, Key):
+            return {"ContentLength": self.sizes[Key]}
+
+        def download_file(self, bucket, key, path):
+            with open(path, "wb") as out:
+                out.write(b"x" * self.sizes[key])
+
+        def start_transcription_job(self, **request):
+            assert request["MediaFormat"] == "mp4" and request["IdentifyLanguage"]
+            self.state = iter(["QUEUED", "FAILED" if "bad" in request["Media"]["MediaFileUri"] else "COMPLETED"])
+
+        def get_transcription_job(self, TranscriptionJobName):
+            return {"TranscriptionJob": {"TranscriptionJobStatus": next(self.state), "Transcript": {"TranscriptFileUri": "u"}, "FailureReason": "no speech"}}
+
+    return Store
+
+
+def test_fetch_and_transcribe(spark, tmp_path):
+    Store = store()
+    (tmp_path / "a.mp4").write_bytes(b"abc")
+    (tmp_path / "b.mp4").write_bytes(b"old")
+    (tmp_path / "x.mp4").write_bytes(b"kept")
+    uris = spark.createDataFrame([(f"s3://bucket/k/{n}.mp4",) for n in "abcx"], "uri string")
+    assert {r.name: r.size for r in remote.remote_sizes(uris, Store).collect()} == {"a.mp4": 3, "b.mp4": 5, "c.mp4": 4, "x.mp4": None}
+    got = {r.path.rpartition("/")[2]: r.fetched for r in remote.fetch(uris, str(tmp_path), Store).collect()}
+    assert got == {"a.mp4": False, "b.mp4": True, "c.mp4": True, "x.mp4": False}
+    assert sorted((p.name, p.stat().st_size) for p in tmp_path.iterdir()) == [("a.mp4", 3), ("b.mp4", 5), ("c.mp4", 4), ("x.mp4", 4)]
+    said = remote.transcribe(uris.limit(1), Store, lambda u: '{"results":{"x":"é"}}'.encode(), 0.0).first()
+    assert said.file_name == "a_transcript_raw.json" and said.document == '{\n  "results": {\n    "x": "é"\n  }\n}'
+    with pytest.raises(Exception, match="no speech"):
+        remote.transcribe(spark.createDataFrame([("s3://b/bad.mp4",)], "uri string"), Store, lambda u: b"{}", 0.0).collect()
+    written = sinks.transcript_documents(spark.createDataFrame([("v", "d/v.mp4", '{"a":[1]}')], "video_id string, path string, document string")).first()
+    assert (written.file_name, json.loads(written.document)) == ("v_transcript_raw.json", {"a": [1]})
+
+
+def test_names_of_files(spark):
+    assert one(spark, ids.frame_file(F.lit("d/v.mp4"), F.lit(7), F.lit(1))) == "v_seg_0007_f1.jpg"
+    assert one(spark, ids.prediction_file(F.lit("d/v.mp4"))) == "v_soundbites.json" and one(spark, ids.transcript_file(F.lit("v.mp4"))) == "v_transcript_raw.json"
+    assert one(spark, ids.job_name()).startswith("transcribe-") and len(one(spark, ids.job_name())) == 19
+    assert one(spark, sinks.range_line(F.lit(1.0), F.lit(2.5), F.lit(0.25))) == "1.000 - 2.500 (0.2500)"
+
+
+def test_frames_and_metadata(spark, tmp_path):
+    rows = spark.createDataFrame([("v.mp4", 3, 0, b"jpeg")], "video_name string, segment_index int, sample_no int, content binary")
+    sinks.write_frames(rows, str(tmp_path / "frames"))
+    assert spark.read.parquet(str(tmp_path / "frames")).first().file_name == "v_seg_0003_f0.jpg"
+    (tmp_path / "meta.json").write_text('{"feature_columns": ["word_count"]}')
+    told = documents.model_metadata(spark, str(tmp_path / "meta.json"))
+    assert told == {"decision_threshold": 0.5, "feature_columns": ["word_count"]}
+
+
+def test_speech_sessions(spark):
+    words = spark.createDataFrame([("v", "2024-01-01 00:00:00"), ("v", "2024-01-01 00:00:20"), ("v", "2024-01-01 00:02:00")], "video_id string, ts string").withColumn("ts", F.to_timestamp("ts"))
+    assert sorted(r.n_words for r in incremental.speech_sessions(words).collect()) == [1, 2]
