@@ -65,9 +65,27 @@ def removed(spark: SparkSession, folder: str) -> None:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in a scratch folder: compressed, and later reads take only the columns they need."""
-    folder = scratch(df.sparkSession, name)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    return Stored(df, name).table
+
+
+class Stored:
+    """A table in a scratch folder that can be removed: for the state of a loop.
+
+    A checkpoint keeps its plan's estimated size, which is a product of sizes after joins; through the rounds of a loop that becomes a number
+    of millions of digits.  A stored table has the size of its files.
+    """
+
+    def __init__(self, df: DataFrame, name: str) -> None:
+        spark = df.sparkSession
+        self.folder = scratch(spark, name)
+        df.write.parquet(self.folder)
+        self.table = spark.read.schema(df.schema).parquet(self.folder)
+
+    def replaced(self, df: DataFrame, name: str) -> Stored:
+        """Store the next state, then remove this one."""
+        new = Stored(df, name)
+        removed(df.sparkSession, self.folder)
+        return new
 
 
 def _met(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -78,19 +96,20 @@ def _met(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "inner")
     return met.drop(*names)
 
 
-def counted_join(rows: DataFrame, counts: DataFrame, keys: list[str], total: int | None = None) -> DataFrame:
+def counted_join(rows: DataFrame, counts: DataFrame, keys: list[str]) -> DataFrame:
     """Join rows with counts, a checkpointed table of one row per key and n, the number of rows with that key; keys are not null.
 
-    A key that holds more than a quarter of an even partition's share is broadcast: by arithmetic there are at most
-    four times as many of those as shuffle partitions, whatever the data.  All other keys are joined by shuffle.
+    Rows of a key that holds more than a quarter of an even partition's share are dealt over several partitions, and the key's row in counts is
+    sent to each of them.  The list of such keys is broadcast: by arithmetic there are at most four times as many as shuffle partitions,
+    and they have at most twice as many parts, whatever the data.
     """
-    total = rows.count() if total is None else total
-    most = total // (4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    hot, cold = counts.where(F.col("n") > most), counts.where(F.col("n") <= most)
-    if hot.isEmpty():
-        return rows.join(counts, keys)
-    few = rows.join(F.broadcast(hot), keys)
-    return few.unionByName(rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    most = total // (4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))) + 1
+    parts = F.ceil(F.col("n") / most).cast("int")
+    hot = F.broadcast(counts.where(F.col("n") > most).select(*keys, parts.alias("_parts")))
+    # the number of a row is fixed by its stored partition, so a task that is repeated deals as before
+    dealt = rows.join(hot, keys, "left").withColumn("_part", F.when(F.col("_parts").isNotNull(), F.pmod(F.monotonically_increasing_id(), "_parts").cast("int")).otherwise(F.lit(0))).drop("_parts")
+    return dealt.join(counts.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))), [*keys, "_part"]).drop("_part")
 
 
 def group_join(rows: DataFrame, groups: DataFrame, keys: list[str], n: str, few: int = FEW_GROUPS) -> DataFrame:

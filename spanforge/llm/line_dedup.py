@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import counted_join, cut, narrow, nested, running, words_of
+from .common import Stored, counted_join, cut, narrow, nested, removed, running, words_of
 
 MIN_WORDS = 50
 
@@ -30,11 +30,11 @@ _DOC = ["no_id", "doc_id", "key_a", "key_b"]
 
 
 def keyed(rows: DataFrame) -> DataFrame:
-    """Replace doc_id by the key of its document, in whose order documents come: id, null last, then the 120 leading bits of the text's md5."""
-    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
-    bits = lambda at: F.conv(F.substring(digest, at, 15), 16, 10).cast("bigint")
+    """Replace doc_id by the key of its document, in whose order documents come: id, null last, then the 60 leading bits of the text's md5."""
+    text = F.coalesce("text", F.lit(""))
+    order = F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
     others = [c for c in rows.columns if c != "doc_id"]
-    return rows.select(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), bits(1).alias("key_a"), bits(16).alias("key_b"), *others)
+    return rows.select(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), order.alias("key_a"), F.xxhash64(text).alias("key_b"), *others)
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -84,14 +84,14 @@ def copies(found: DataFrame, min_words: int) -> DataFrame:
     """p of every line that lies in a run found earlier too."""
     wanted = cut(runs(found, min_words))
     longest = wanted.agg(F.max("m")).first()[0] or 0
-    rank, k, hits = found.select("p", F.col("r0").alias("r")), 0, None
+    rank, state, k, hits = found.select("p", F.col("r0").alias("r")), None, 0, None
     while (1 << k) <= longest:
         # runs of 2^k to 2^(k+1) - 1 lines: suffixes that agree in both ranks form one interval
         own = wanted.where((F.col("m") >= 1 << k) & (F.col("m") < 2 << k))
         tail = rank.select(F.col("p").alias("q"), F.col("r").alias("t"))
         named = cut(own.join(rank, "p").withColumn("q", F.col("p") + F.col("m") - (1 << k)).join(tail, "q").select("p", "m", "r", "t"))
         first = cut(named.groupBy("m", "r", "t").agg(F.min("p").alias("first"), F.count("*").alias("n")).where("n > 1"))
-        later = counted_join(named, first, ["m", "r", "t"]).where("p > first").select(F.explode(F.expr("sequence(p, p + m - 1)")).alias("p"))
+        later = cut(counted_join(named, first, ["m", "r", "t"]).where("p > first").select("p", "m"))
         hits = later if hits is None else hits.union(later)
         k += 1
         if (1 << k) > longest:
@@ -99,8 +99,12 @@ def copies(found: DataFrame, min_words: int) -> DataFrame:
         # prefix doubling: the pair of ranks, sorted, gives the rank by twice as many lines; no suffix there is the sentinel
         further = rank.select((F.col("p") - (1 << (k - 1))).alias("p"), F.col("r").alias("s"))
         pairs = cut(rank.join(further, "p", "left").select("p", "r", F.coalesce("s", F.lit(-1).cast("bigint")).alias("s")))
-        rank = cut(counted_join(pairs, ranked(pairs, ["r", "s"]), ["r", "s"]).select("p", F.col("rank").alias("r")))
-    return found.select("p").limit(0) if hits is None else hits.distinct()
+        doubled = counted_join(pairs, ranked(pairs, ["r", "s"]), ["r", "s"]).select("p", F.col("rank").alias("r"))
+        state = Stored(doubled, "ranks") if state is None else state.replaced(doubled, "ranks")
+        rank = state.table
+    if state:
+        removed(found.sparkSession, state.folder)
+    return found.select("p").limit(0) if hits is None else hits.select(F.explode(F.expr("sequence(p, p + m - 1)")).alias("p")).distinct()
 
 
 def _text(docs: DataFrame) -> Column:

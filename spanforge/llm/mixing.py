@@ -150,7 +150,7 @@ def taken(docs: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame) -> DataFrame:
     """The documents as often as the mix takes them, with all their columns."""
-    sizes, _, copies = plan(docs)
+    _, _, copies = plan(docs)
     whole = nested(docs, "doc_id", "text", "source").select("document", *_key())
-    found = counted_join(whole, copies, ["key_a", "key_b"], sizes.count()).where("copies > 0")
+    found = counted_join(whole, copies, ["key_a", "key_b"]).where("copies > 0")
     return found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).select("document.*")

@@ -1,14 +1,15 @@
 """Near copies by 5-word shingles: SimHash candidates by anchor-point covering, decided by exact Jaccard similarity.
 
-Texts with equal sets of shingles are one node.  Each node has 256 majority bits of its distinct shingles' hashes; a similarity of 0.8
-makes a bit differ with probability 0.15.  The bits are cut into 11 blocks of 23, each covered by the Golay code as in ``simhash``: nodes that
-share an anchor in any block, at home for one of them, and differ in at most RADIUS of the first 128 bits are candidates.  A pair at 0.8
-is found with probability of about 0.99, a closer one with more.  Candidates link only if their sets of shingles have a Jaccard similarity
+Texts with equal sets of shingles are one node.  Each node has 256 majority bits (2,048 after the first round) of its distinct shingles' hashes;
+a similarity of 0.8 makes a bit differ with probability 0.15.  The bits are cut into 11 blocks of 23, each covered by the Golay code as in ``simhash``: nodes that
+share an anchor in any block, at home for one of them, differ in few enough bits (RADII) and have sizes that allow LEAST are candidates.  A pair
+at 0.8 is found with probability of about 0.99, a closer one with more.  Candidates link only if their sets of shingles have a Jaccard similarity
 of LEAST percent or more.
 
-A member of an anchor proposes its nearest candidates of other components, FEW of them at first.  Members that had more propose
-eight times as many in the next round, against the components found by then, until none had more: no candidate is left
-out, and a group of n near copies costs a multiple of n proposals rather than n * n.
+At first an anchor's home members propose the spanning forest of least distances among them, and each of its trees its nearest candidate from
+elsewhere: one proposal a member at most, and most links of a large group of near copies are among them.  After that, members that had
+other candidates propose their nearest ones of other components, FEW of them, and eight times as many in each further round,
+until none had more: no candidate is left out, and a group of n near copies costs a multiple of n proposals rather than n * n.
 """
 
 from __future__ import annotations
@@ -24,10 +25,13 @@ from .common import arrow_map, cut, narrow, row_key, texts_of
 
 SHINGLE, LEAST, SEED = 5, 80, 42
 WORDS, BLOCKS = 4, 11
-RADIUS, FEW = 33, 8
+#: Words of bits at first and in later rounds, and how many bits a candidate may differ in: 3.4 standard deviations beyond what 0.8 makes.
+FINE, RADII = 32, {4: 58, 32: 365}
+FEW = 4
 #: Members of an anchor that one task compares at home.
 PART = 20_000
-_MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
+_SKETCH = [*(f"w{k}" for k in range(WORDS)), "size"]
+_GOLDEN, _ALL = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
 
 def shingles(text: str) -> np.ndarray:
@@ -49,11 +53,11 @@ def node_of(found: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(found.tobytes(), SEED)
 
 
-def bits_of(found: np.ndarray) -> list[int]:
-    """WORDS words of 64 majority bits each."""
+def bits_of(found: np.ndarray, words: int = WORDS) -> list[int]:
+    """So many words of 64 majority bits each."""
     out = []
-    for odd in _MIX:
-        x = (found ^ (found >> np.uint64(31))) * np.uint64(odd)
+    for k in range(words):
+        x = (found ^ (found >> np.uint64(31))) * np.uint64(_GOLDEN * (2 * k + 1) & _ALL)
         x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         octets = (x ^ (x >> np.uint64(32))).astype(">u8").view(np.uint8).reshape(-1, 8)
         ones = np.concatenate([np.bincount(octets[:, k], minlength=256) @ simhash._BITS for k in range(8)])
@@ -62,56 +66,110 @@ def bits_of(found: np.ndarray) -> list[int]:
 
 
 def prints_of(docs: DataFrame) -> DataFrame:
-    """doc_id, key_a, key_b, node and the words of bits: one row per document."""
+    """doc_id, key_a, key_b, node, the words of bits and the size of its set: one row per document."""
 
     def over(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = [(node_of(s), *bits_of(s)) for s in map(shingles, texts_of(batch))]
+        rows = [(node_of(s), *bits_of(s), len(s)) for s in map(shingles, texts_of(batch))]
         values = np.array(rows, np.uint64).view(np.int64)
-        return pa.record_batch({**{c: batch.column(c) for c in ("doc_id", "key_a", "key_b")}, "node": pa.array(values[:, 0]), **{f"w{k}": pa.array(values[:, k + 1]) for k in range(WORDS)}})
+        return pa.record_batch({**{c: batch.column(c) for c in ("doc_id", "key_a", "key_b")}, "node": pa.array(values[:, 0]), **{c: pa.array(values[:, k + 1]) for k, c in enumerate(_SKETCH)}})
 
     keyed = narrow(docs, "doc_id", "text").select("doc_id", "text", *row_key())
-    return arrow_map(keyed, over, "doc_id bigint, key_a bigint, key_b bigint, node bigint, " + ", ".join(f"w{k} bigint" for k in range(WORDS)))
+    return arrow_map(keyed, over, "doc_id bigint, key_a bigint, key_b bigint, node bigint, " + ", ".join(f"{c} bigint" for c in _SKETCH))
+
+
+def sketches(column: pa.ChunkedArray | pa.Array, n: int) -> np.ndarray:
+    """n rows of words of bits and, last, the size."""
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return flat.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(n, -1)
 
 
 def cover(nodes: DataFrame) -> DataFrame:
-    """anchor, node, root, w0, w1, home: each node at every anchor it has to be compared at; it is at home only if it asks."""
+    """anchor, node, root, sketch, home: each node at every anchor it has to be compared at."""
 
     def over(batches):
         for batch in batches:
-            bits = np.stack([batch.column(f"w{k}").to_numpy() for k in range(WORDS)], 1).view(np.uint64)
+            if not batch.num_rows:
+                continue
+            bits = np.ascontiguousarray(sketches(batch.column("sketch"), batch.num_rows)[:, :WORDS])
             flat = np.unpackbits(bits.astype(">u8").view(np.uint8).reshape(len(bits), -1), axis=1)[:, : 23 * BLOCKS].reshape(len(bits), BLOCKS, 23)
             blocks = flat.astype(np.int64) @ (1 << np.arange(23))
-            ask = batch.column("ask").to_numpy(zero_copy_only=False)
             for k in range(BLOCKS):
                 row, anchor, home = simhash.anchors(blocks[:, k])
                 at = pa.array(row)
-                yield pa.record_batch({"anchor": pa.array(anchor + (k << 32)), **{c: batch.column(c).take(at) for c in ("node", "root", "w0", "w1")}, "home": pa.array(home & ask[row])})
+                yield pa.record_batch({"anchor": pa.array(anchor + (k << 32)), **{c: batch.column(c).take(at) for c in ("node", "root", "sketch")}, "home": pa.array(home)})
+
+    return nodes.select("node", "root", "sketch").mapInArrow(over, "anchor bigint, node bigint, root bigint, sketch array<bigint>, home boolean")
 
-    return nodes.mapInArrow(over, "anchor bigint, node bigint, root bigint, w0 bigint, w1 bigint, home boolean")
 
+def finer(sets: DataFrame) -> DataFrame:
+    """node and a sketch of FINE words, the first ones as before."""
+
+    def over(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = [np.array([*bits_of(x, FINE), len(x)], np.uint64).view(np.int64) for x in (np.asarray(s.values.to_numpy(), np.int64).view(np.uint64) for s in batch.column("found"))]
+        return pa.record_batch({"node": batch.column("node"), "sketch": pa.array(rows, pa.list_(pa.int64()))})
+
+    return arrow_map(sets, over, "node bigint, sketch array<bigint>")
 
-def candidates(node: np.ndarray, root: np.ndarray, w0: np.ndarray, w1: np.ndarray, homes: np.ndarray, few: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of a home member and one of its nearest candidates in other components, and whether the member had more."""
+
+def distance(sketch: np.ndarray, rows: np.ndarray | int, others: np.ndarray) -> np.ndarray:
+    """Differing bits of rows and others; one more than allowed where that is too many or the sizes differ too much."""
+    x, y = (sketch[rows][:, None], sketch[others][None]) if isinstance(rows, np.ndarray) else (sketch[rows], sketch[others])
+    words = sketch.shape[1] - 1
+    far = np.bitwise_count(x[..., :words] ^ y[..., :words]).sum(-1, dtype=np.int16)
+    m, n = x[..., words].astype(np.int64), y[..., words].astype(np.int64)
+    return np.where((far <= RADII[words]) & (100 * np.minimum(m, n) >= LEAST * np.maximum(m, n)), far, RADII[words] + 1)
+
+
+def candidates(node: np.ndarray, root: np.ndarray, sketch: np.ndarray, homes: np.ndarray, few: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of a home member and one of its nearest candidates in other components, and the members that had more."""
     a, b, more = [], [], []
-    step = max(1, simhash.CELLS // max(1, len(node)))
+    radius = RADII[sketch.shape[1] - 1]
+    step = max(1, simhash.CELLS // (sketch.shape[1] * max(1, len(node))))
     for i in range(0, len(homes), step):
         rows = homes[i : i + step]
-        far = np.bitwise_count(w0[rows][:, None] ^ w0[None, :]) + np.bitwise_count(w1[rows][:, None] ^ w1[None, :])
-        close = (far <= RADIUS) & (root[rows][:, None] != root[None, :])
+        far = distance(sketch, rows, np.arange(len(node)))
+        close = (far <= radius) & (root[rows][:, None] != root[None, :])
         count = close.sum(1)
         x, y = np.nonzero(close & (count <= few)[:, None])
-        a.append(rows[x]), b.append(y), more.append(np.zeros(len(x), bool))
+        a.append(rows[x]), b.append(y)
         for k in np.flatnonzero(count > few):
             near = np.flatnonzero(close[k])
-            near = near[np.argsort(far[k, near], kind="stable")[:few]]
-            a.append(np.full(few, rows[k])), b.append(near), more.append(np.ones(few, bool))
-    if not a:
-        return node[:0], node[:0], np.zeros(0, bool)
-    return node[np.concatenate(a)], node[np.concatenate(b)], np.concatenate(more)
-
-
-def proposals(nodes: DataFrame, few: int) -> DataFrame:
-    """a, b, more_a, more_b: candidate pairs, a < b, and whether a or b had more of them at some anchor."""
+            a.append(np.full(few, rows[k])), b.append(near[np.argsort(far[k, near], kind="stable")[:few]])
+        more.append(rows[count > few])
+    none = [np.zeros(0, np.int64)]
+    return node[np.concatenate(a or none)], node[np.concatenate(b or none)], node[np.concatenate(more or none)]
+
+
+def spanning(node: np.ndarray, sketch: np.ndarray, homes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of the forest of least distances among home members (Prim's way), each tree's nearest member from elsewhere, and the members
+    that had other candidates."""
+    n, out = len(homes), RADII[sketch.shape[1] - 1] + 1
+    others = np.setdiff1d(np.arange(len(node)), homes, assume_unique=True)
+    best, parent, left = np.full(n, out, np.int16), np.full(n, -1), np.ones(n, bool)
+    a, b, many, trees = [], [], np.zeros(n, np.int64), []
+    for _ in range(n):
+        k = int(np.argmin(np.where(left, best, out + 1)))
+        left[k] = False
+        if best[k] < out:
+            a.append(k), b.append(homes[parent[k]])
+        else:
+            trees.append((out, k, -1))
+        far = distance(sketch, int(homes[k]), homes)
+        many[k] = (far < out).sum() - 1
+        nearer = left & (far < best)
+        best[nearer], parent[nearer] = far[nearer], k
+        if len(others):
+            far = distance(sketch, int(homes[k]), others)
+            many[k] += (far < out).sum()
+            trees[-1] = min(trees[-1], (int(far.min()), k, int(others[far.argmin()])))
+    for least, k, other in trees:
+        if least < out:
+            a.append(k), b.append(other)
+    return node[homes[np.array(a, np.int64)]], node[np.array(b, np.int64)], node[homes[many > 1]]
+
+
+def proposals(nodes: DataFrame, few: int | None) -> DataFrame:
+    """a, b: candidate pairs, a < b; and rows with b null for each node a that had more of them at some anchor.  few=None: the first round."""
     placed = cover(nodes)
     # At most BLOCKS * 4096 anchors exist, so the list of crowded ones may be broadcast.
     crowded = placed.where("home").groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > PART).select("anchor", F.ceil(F.col("n") / PART).cast("int").alias("parts"))
@@ -120,15 +178,17 @@ def proposals(nodes: DataFrame, few: int) -> DataFrame:
     own = F.col("home") & (F.pmod(F.xxhash64("node"), F.col("parts")) == F.col("part"))
 
     def over(table: pa.Table) -> pa.Table:
-        node, root, w0, w1 = (np.ascontiguousarray(table.column(c).to_numpy()) for c in ("node", "root", "w0", "w1"))
+        node, root = (np.ascontiguousarray(table.column(c).to_numpy()) for c in ("node", "root"))
         order = np.argsort(node, kind="stable")
+        node, root = node[order], root[order]
+        sketch = sketches(table.column("sketch"), len(node))[order]
         homes = np.flatnonzero(table.column("own").to_numpy(zero_copy_only=False)[order])
-        mine, other, more = candidates(node[order], root[order], w0[order].view(np.uint64), w1[order].view(np.uint64), homes, few)
-        less = mine < other
-        return pa.table({"a": np.minimum(mine, other), "b": np.maximum(mine, other), "more_a": more & less, "more_b": more & ~less})
+        mine, other, more = spanning(node, sketch, homes) if few is None else candidates(node, root, sketch, homes, few)
+        pairs = pa.table({"a": np.minimum(mine, other), "b": np.maximum(mine, other)})
+        return pa.concat_tables([pairs, pa.table({"a": more, "b": pa.nulls(len(more), pa.int64())})])
 
-    pairs = sent.select("anchor", "part", "node", "root", "w0", "w1", own.alias("own")).groupBy("anchor", "part").applyInArrow(over, "a bigint, b bigint, more_a boolean, more_b boolean")
-    return pairs.groupBy("a", "b").agg(F.max("more_a").alias("more_a"), F.max("more_b").alias("more_b"))
+    # a node asks for more once, however many anchors it has more at
+    return sent.select("anchor", "part", "node", "root", "sketch", own.alias("own")).groupBy("anchor", "part").applyInArrow(over, "a bigint, b bigint").distinct()
 
 
 def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -160,32 +220,32 @@ def sets_of(docs: DataFrame, prints: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def roots_of(docs: DataFrame, prints: DataFrame) -> DataFrame:
     """node, root: for every node that is similar to another the least node of its component."""
-    words = [f"w{k}" for k in range(WORDS)]
-    # equal sets have equal bits, so any row of a node will do
-    nodes = cut(prints.groupBy("node").agg(*[F.min(w).alias(w) for w in words]))
-    few, checked, edges, sets, roots = FEW, None, None, None, None
-    asking = nodes.withColumns({"root": F.col("node"), "ask": F.lit(True)})
+    # equal sets have equal sketches, so any row of a node will do
+    nodes = cut(prints.groupBy("node").agg(*[F.min(c).alias(c) for c in _SKETCH]).select("node", F.array(*_SKETCH).alias("sketch")))
+    few, checked, edges, sets = None, None, None, None
+    asking = nodes.withColumn("root", F.col("node"))
     while True:
-        found = cut(proposals(asking, few))
-        pairs = found if checked is None else found.join(checked, ["a", "b"], "left_anti")
-        if sets is None:
-            met = cut(found.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-            sets = cut(sets_of(docs, prints, met))
-        new = similar(pairs, sets)
-        edges = cut(new if edges is None else edges.union(new))
-        checked = found.select("a", "b") if checked is None else checked.union(pairs.select("a", "b"))
+        told = cut(proposals(asking, few))
+        found = told.where("b IS NOT NULL")
+        pairs = cut(found if checked is None else found.join(checked, ["a", "b"], "left_anti"))
+        if sets is None or not pairs.isEmpty():
+            met = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+            fresh = cut(sets_of(docs, prints, met if sets is None else met.join(sets, "node", "left_anti")))
+            sets = fresh if sets is None else sets.union(fresh)
+            new = similar(pairs, sets)
+            edges = cut(new if edges is None else edges.union(new))
+        checked = pairs if checked is None else checked.union(pairs)
         roots = simhash.connected(edges)
-        more = found.select(F.explode(F.array(F.when(F.col("more_a"), F.col("a")), F.when(F.col("more_b"), F.col("b")))).alias("node")).where("node IS NOT NULL").distinct().withColumn("ask", F.lit(True))
-        more = cut(more)
+        more = cut(told.where("b IS NULL").select(F.col("a").alias("node")))
         if more.isEmpty():
             return roots
-        few *= 8
-        # every candidate of a node was a candidate in the first round too, so only nodes met there can answer
-        asking = nodes.join(met, "node", "left_semi").join(roots, "node", "left").join(more, "node", "left").select("node", *words, F.coalesce("root", "node").alias("root"), F.coalesce("ask", F.lit(False)).alias("ask"))
+        few = FEW if few is None else few * 8
+        # a node that had no more has proposed all its candidates, so only those that had meet again; all of them were in a pair and have a set
+        asking = cut(finer(sets.join(more, "node")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
 
 
 def keep(docs: DataFrame) -> DataFrame:
     """The documents with one left of each component: the smallest doc_id, of rows that share it the one with the least key."""
     prints = cut(prints_of(docs))
     rooted = simhash.firsts(prints, "node").join(roots_of(docs, prints), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    return simhash.first_of(docs, rooted, prints.count())
+    return simhash.first_of(docs, rooted)

@@ -2,9 +2,10 @@
 
 A document's tokens are cut into whole windows and a rest.  Rests are placed online: a level array counts the partially filled windows at each
 fill level, and a rest goes to the level whose choice makes the sum of squared counts least (a new window is level zero); ties
-go to the fullest window.  Each task packs what it reads, so nothing is shuffled and no text leaves its task.  At most OPEN windows are partially filled at a
-time; beyond that, and at a task's end, the rests in them are laid end to end and cut at window borders.  What then is left of a task is cut at
-powers of two, which need no padding.
+go to the fullest window.  Each task packs what it reads, so no text leaves its task.  The rests in windows that are still open at a task's end are
+packed once more by the same rule, those of many tasks together (GATHER rests a task).  What is open after that is laid end to end and cut at
+window borders, and the last of it at powers of two, which need no padding.  At most OPEN windows are open at a time; beyond that they are laid
+end to end at once.
 
 Texts are split at white space, and a word's ids are looked up: the vocabulary's pre-tokeniser never joins across white space.
 
@@ -23,9 +24,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import narrow, small_batches, texts_of
+from .common import cut, narrow, small_batches, texts_of
 
-CAPACITY, END, OPEN = 4096, 2, 512
+CAPACITY, END, OPEN = 4096, 2, 4096
+#: Rests left open by tasks that one task of the second pass takes.
+GATHER = 50_000
 #: Words kept with their ids in a worker; longer words are encoded each time.
 WORDS, WORD_CHARS = 800_000, 48
 #: Characters that str.split() takes for white space and the vocabulary's pattern does not.
@@ -128,9 +131,9 @@ class Packer:
         for at in range(0, len(ids) - width + 1, width):
             self.closed.append([(doc_id, at // 4, ids[at : at + width], total)])
         if rest := total % self.capacity:
-            self._place((doc_id, total - rest, ids[len(ids) - 4 * rest :], total), rest)
+            self.place((doc_id, total - rest, ids[len(ids) - 4 * rest :], total), rest)
 
-    def _place(self, piece: tuple, size: int) -> None:
+    def place(self, piece: tuple, size: int) -> None:
         at = self.choose(size)
         if at:
             window = self.windows[at].pop()
@@ -150,9 +153,7 @@ class Packer:
 
     def _lay(self, last: bool) -> None:
         """Lay all open windows' pieces end to end, fullest window first, and cut them at window borders."""
-        pieces = [p for at in sorted(self.windows, reverse=True) for w in self.windows[at] for p in w]
-        self.windows, self.open = {}, 0
-        self.level[:] = 0
+        pieces = self.leave()
         left = sum(len(p[2]) for p in pieces) // 4
         window: list[tuple] = []
         room = size = self._size(left, last)
@@ -174,37 +175,68 @@ class Packer:
     def _size(self, left: int, last: bool) -> int:
         return self.capacity if left >= self.capacity or not last or not left else 1 << (left.bit_length() - 1)
 
+    def leave(self) -> list[tuple]:
+        """The pieces of all open windows, fullest window first; none is open afterwards."""
+        pieces = [p for at in sorted(self.windows, reverse=True) for w in self.windows[at] for p in w]
+        self.windows, self.open = {}, 0
+        self.level[:] = 0
+        return pieces
+
     def finish(self) -> None:
         self._lay(last=True)
 
 
+def _rows(packer: Packer, sequence: int) -> tuple[pa.RecordBatch, int]:
+    """The closed windows as rows, numbered from sequence on, and the next number."""
+    out = []
+    for window in packer.closed:
+        offset = 0
+        for doc_id, start, ids, total in window:
+            out.append((doc_id, start, len(ids) // 4, zlib.crc32(ids), total, sequence, offset, None))
+            offset += len(ids) // 4
+        sequence += 1
+    packer.closed = []
+    return _batch(out), sequence
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    names = [x.split()[0] for x in SCHEMA.split(", ")]
+    columns = list(zip(*rows, strict=True)) if rows else [()] * (len(names) + 1)
+    return pa.record_batch([*(pa.array(c, pa.int64()) for c in columns[:-1]), pa.array(columns[-1], pa.binary())], [*names, "ids"])
+
+
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: its document, place there, length, checksum of its ids, sequence and place there."""
+    schema = SCHEMA + ", ids binary"
 
-    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, packer = encoder(tokenizer), Packer(capacity)
         sequence = TaskContext.get().partitionId() << 36
-
-        def rows() -> pa.RecordBatch:
-            nonlocal sequence
-            out = []
-            for window in packer.closed:
-                offset = 0
-                for doc_id, start, ids, total in window:
-                    out.append((doc_id, start, len(ids) // 4, zlib.crc32(ids), total, sequence, offset))
-                    offset += len(ids) // 4
-                sequence += 1
-            packer.closed = []
-            names = [x.split()[0] for x in SCHEMA.split(", ")]
-            return pa.record_batch([pa.array(c, pa.int64()) for c in zip(*out, strict=True)] if out else [pa.array([], pa.int64())] * len(names), names)
-
         for batch in small_batches(batches):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch), strict=True):
                 packer.add(doc_id, own.ids(text))
             if packer.closed:
-                yield rows()
+                rows, sequence = _rows(packer, sequence)
+                yield rows
+        left = packer.leave()
+        for i in range(0, len(left), 256):
+            yield _batch([(doc_id, start, len(ids) // 4, zlib.crc32(ids), total, None, None, ids) for doc_id, start, ids, total in left[i : i + 256]])
+
+    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = Packer(capacity)
+        sequence = (1 << 62) + (TaskContext.get().partitionId() << 36)
+        for batch in batches:
+            for doc_id, start, ids, total in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "start", "ids", "doc_tokens")), strict=True):
+                packer.place((doc_id, start, ids, total), len(ids) // 4)
+            if packer.closed:
+                rows, sequence = _rows(packer, sequence)
+                yield rows
         packer.finish()
         if packer.closed:
-            yield rows()
+            yield _rows(packer, sequence)[0]
 
-    return narrow(docs, "doc_id", "text").mapInArrow(over, SCHEMA)
+    pieces = cut(narrow(docs, "doc_id", "text").mapInArrow(first, schema))
+    left = pieces.where("sequence_id IS NULL")
+    tasks = max(1, -(-left.count() // GATHER))
+    again = left.coalesce(tasks).mapInArrow(second, schema)
+    return pieces.where("sequence_id IS NOT NULL").unionByName(again).drop("ids")

@@ -23,7 +23,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, group_join, narrow, nested, words_of
+from .common import cut, group_join, narrow, nested, words_of, written
 
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 #: Multiple of the spread beyond the upper quartile at which a text is an outlier of its group.
@@ -173,6 +173,9 @@ def score(docs: DataFrame) -> DataFrame:
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with all their columns.  The texts are read twice rather than shuffled."""
-    limits = thresholds(with_metrics(narrow(docs, "text", "lang", "source")))
-    return verdict(with_metrics(nested(docs, "text", "lang", "source")), limits).where("kept").select("document.*")
+    """The documents that pass, with all their columns.
+
+    Documents and counts are written once as a table, so nothing is counted twice and the sketches read the counts alone.
+    """
+    rows = written(with_metrics(nested(docs, "text", "lang", "source")), "quality")
+    return verdict(rows, thresholds(rows.drop("document"))).where("kept").select("document.*")

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, counted_join, cut, narrow, nested, row_key, texts_of
+from .common import Stored, arrow_map, counted_join, cut, narrow, nested, removed, row_key, texts_of
 
 THRESHOLD, SHINGLE, SEED = 4, 4, 42
 _LOW = (1 << 23) - 1
@@ -198,20 +198,22 @@ def links(distinct: DataFrame) -> DataFrame:
 
 def connected(edges: DataFrame) -> DataFrame:
     """node, root: for every node of the edges a, b the smallest node it can reach (large and small stars in turn)."""
-    now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    now = Stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "stars")
     before = None
     while True:
-        # large star: every larger neighbour is linked to the least one; hubs are joined by broadcast
-        both = now.union(now.select("b", "a"))
+        # large star: every larger neighbour is linked to the least one; hubs are dealt over partitions
+        both = now.table.union(now.table.select("b", "a"))
         least = cut(both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n"))
         large = cut(counted_join(both, least, ["a"]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
         # small star: a node and its smaller neighbours are linked to the least one
         low = cut(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")))
         near = counted_join(large, low, ["a"])
-        now = cut(near.select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        now = now.replaced(near.select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), "stars")
+        state = now.table.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            roots = cut(now.table.select(F.col("a").alias("node"), F.col("b").alias("root")))
+            removed(edges.sparkSession, now.folder)
+            return roots
         before = state
 
 
@@ -237,13 +239,13 @@ def firsts(prints: DataFrame, node: str) -> DataFrame:
     return rows.groupBy(node).agg(least.alias("first")).select(node, "first.*")
 
 
-def first_of(docs: DataFrame, rooted: DataFrame, total: int) -> DataFrame:
-    """The first of docs' rows, ``total`` in all, for each root by smallest doc_id, then least key; rooted has the firsts of nodes and root."""
+def first_of(docs: DataFrame, rooted: DataFrame) -> DataFrame:
+    """The first of docs' rows for each root by smallest doc_id, then least key; rooted has the firsts of nodes and root."""
     least = F.min(F.struct("no_id", "doc_id", "key_a", "key_b", "n")).alias("first")
     winners = cut(rooted.groupBy("root").agg(least).select("first.key_a", "first.key_b", "first.n"))
     whole = nested(docs, "doc_id", "text").select("document", *row_key())
-    # a winner with many equal rows is met by broadcast, and each task passes on one of them
-    found = counted_join(whole, winners, ["key_a", "key_b"], total)
+    found = counted_join(whole, winners, ["key_a", "key_b"])
+    # equal rows are one each per partition before they meet
     nth = F.row_number().over(Window.partitionBy("key_a", "key_b").orderBy(F.lit(1)))
     return found.withColumn("nth", nth).where("nth = 1").select("document.*")
 
@@ -252,4 +254,4 @@ def keep(docs: DataFrame) -> DataFrame:
     """The documents with one left of each component: the smallest doc_id, of rows that share it the one with the least key."""
     keyed = narrow(docs, "doc_id", "text").select("doc_id", "text", *row_key())
     prints = cut(fingerprints(keyed, "doc_id", "key_a", "key_b"))
-    return first_of(docs, firsts(prints, "fp").join(components(prints).select("fp", "root"), "fp"), prints.count())
+    return first_of(docs, firsts(prints, "fp").join(components(prints).select("fp", "root"), "fp"))

@@ -142,9 +142,7 @@ def fit(sample: list[tuple[str, int]], base_rate: float, seed: int = 42) -> Mode
     place = np.zeros(BUCKETS, np.int32)
     place[used] = np.arange(len(used), dtype=np.int32)
     local, doc_n, doc_value = place[gram[use]], doc[use], value[use]
-    by_gram = np.argsort(local, kind="stable").astype(np.int32)
-    gram_doc, gram_value, gram_n = doc_n[by_gram], doc_value[by_gram], np.bincount(local, minlength=len(used))
-    del by_gram, use
+    del use
     weight = np.where(held, 0, np.where(y == 1, 0.5 / y[~held].sum(), 0.5 / (1 - y[~held]).sum()))
     rng = np.random.default_rng(seed)
     params = [rng.normal(0, 0.1, (len(used), WIDTH)), rng.normal(0, 0.5, WIDTH), np.zeros(1)]
@@ -153,7 +151,7 @@ def fit(sample: list[tuple[str, int]], base_rate: float, seed: int = 42) -> Mode
         e, w, b = params
         logit = np.bincount(doc_n, doc_value * (e @ w)[local], len(y)) + b[0]
         d = weight * (1 / (1 + np.exp(-np.clip(logit, -40, 40))) - y)
-        g = ragged_sums(gram_value * d[gram_doc], gram_n)
+        g = np.bincount(local, doc_value * d[doc_n], len(used))
         for i, grad in enumerate((g[:, None] * w + DECAY * e / len(used), e.T @ g, np.array([d.sum()]))):
             first[i] = 0.9 * first[i] + 0.1 * grad
             second[i] = 0.999 * second[i] + 0.001 * grad * grad

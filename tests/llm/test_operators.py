@@ -313,7 +313,7 @@ def test_sum_of_squares_rule():
         assert options[chosen] == min(options.values())
         levels[chosen] -= chosen > 0
         levels[chosen + size] += chosen + size < 32
-        packer._place((0, 0, bytes(4 * size), size), size)
+        packer.place((0, 0, bytes(4 * size), size), size)
         assert {h: v for h, v in levels.items() if v} == {h: int(v) for h, v in enumerate(packer.level) if v}
 
 
