@@ -1,17 +1,16 @@
 """A training-data pipeline over ``documents``: rules, line dedup, near-dedup, mixing and packing.
 
 Each stage takes what its predecessor kept.  ``run`` writes every stage as Parquet under the shared folder of
-spark.checkpoint.dir and reads it again, so a lost executor never costs more than one stage.
+spark.checkpoint.dir and reads it again, so a lost executor never costs more than one stage.  A stage's table is removed
+when the next one is written, the last ones when the application ends.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from spanforge.llm import line_dedup, mixing, near_copies, packing, quality_rules
-from spanforge.llm.common import checkpoint_dir
+from spanforge.llm.common import removed, scratch
 from spanforge.llm.queries import tokenizer_path
 
 
@@ -48,8 +47,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-    for name, stage in STAGES[:-1]:
+    folder = scratch(spark, "pipeline")
+    for k, (name, stage) in enumerate(STAGES[:-1]):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if k:
+            removed(spark, f"{folder}/{STAGES[k - 1][0]}")
     return STAGES[-1][1](spark, docs, sf_dir)
