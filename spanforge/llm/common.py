@@ -53,6 +53,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def packed(df: DataFrame) -> DataFrame:
+    """No more partitions than the cluster has cores: for tables far smaller than the corpus, which would be stored as many tiny files."""
+    return df.coalesce(max(1, df.sparkSession.sparkContext.defaultParallelism))
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder below the checkpoint folder, deleted when the application ends."""
     return _goes_with(spark, f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")

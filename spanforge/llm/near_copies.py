@@ -8,7 +8,7 @@ of LEAST percent or more.
 
 At first an anchor's home members propose the spanning forest of least distances among them, and each of its trees its nearest candidate from
 elsewhere: one proposal a member at most, and most links of a large group of near copies are among them.  After that, members that had
-other candidates propose their nearest ones of other components, FEW of them, and eight times as many in each further round,
+other candidates propose their nearest ones of other components, FEW of them, and GROW times as many in each further round,
 until none had more: no candidate is left out, and a group of n near copies costs a multiple of n proposals rather than n * n.
 """
 
@@ -21,13 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import simhash
-from .common import arrow_map, cut, narrow, row_key, texts_of
+from .common import arrow_map, cut, narrow, packed, row_key, texts_of
 
 SHINGLE, LEAST, SEED = 5, 80, 42
 WORDS, BLOCKS = 4, 11
 #: Words of bits at first and in later rounds, and how many bits a candidate may differ in: 3.4 standard deviations beyond what 0.8 makes.
 FINE, RADII = 32, {4: 58, 32: 365}
-FEW = 4
+FEW, GROW = 16, 16
 #: Members of an anchor that one task compares at home.
 PART = 20_000
 _SKETCH = [*(f"w{k}" for k in range(WORDS)), "size"]
@@ -83,6 +83,19 @@ def sketches(column: pa.ChunkedArray | pa.Array, n: int) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(n, -1)
 
 
+def blocks_of(sketch: np.ndarray) -> np.ndarray:
+    """The values of the BLOCKS blocks of 23 bits, one row per sketch."""
+    bits = np.ascontiguousarray(sketch[:, :WORDS])
+    flat = np.unpackbits(bits.astype(">u8").view(np.uint8).reshape(len(bits), -1), axis=1)[:, : 23 * BLOCKS].reshape(len(bits), BLOCKS, 23)
+    return flat.astype(np.int64) @ (1 << np.arange(23))
+
+
+def first_met(sketch: np.ndarray, mine: np.ndarray, other: np.ndarray, block: int) -> np.ndarray:
+    """Whether the pairs are not bound to meet at an anchor of an earlier block, where they are proposed then."""
+    values = blocks_of(sketch)[:, :block]
+    return ~(np.bitwise_count(values[mine] ^ values[other]) <= 1).any(1)
+
+
 def cover(nodes: DataFrame) -> DataFrame:
     """anchor, node, root, sketch, home: each node at every anchor it has to be compared at."""
 
@@ -90,9 +103,7 @@ def cover(nodes: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            bits = np.ascontiguousarray(sketches(batch.column("sketch"), batch.num_rows)[:, :WORDS])
-            flat = np.unpackbits(bits.astype(">u8").view(np.uint8).reshape(len(bits), -1), axis=1)[:, : 23 * BLOCKS].reshape(len(bits), BLOCKS, 23)
-            blocks = flat.astype(np.int64) @ (1 << np.arange(23))
+            blocks = blocks_of(sketches(batch.column("sketch"), batch.num_rows))
             for k in range(BLOCKS):
                 row, anchor, home = simhash.anchors(blocks[:, k])
                 at = pa.array(row)
@@ -120,14 +131,14 @@ def distance(sketch: np.ndarray, rows: np.ndarray | int, others: np.ndarray) ->
     return np.where((far <= RADII[words]) & (100 * np.minimum(m, n) >= LEAST * np.maximum(m, n)), far, RADII[words] + 1)
 
 
-def candidates(node: np.ndarray, root: np.ndarray, sketch: np.ndarray, homes: np.ndarray, few: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of a home member and one of its nearest candidates in other components, and the members that had more."""
+def candidates(root: np.ndarray, sketch: np.ndarray, homes: np.ndarray, few: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of a home member and one of its nearest candidates in other components, and of the members that had more."""
     a, b, more = [], [], []
     radius = RADII[sketch.shape[1] - 1]
-    step = max(1, simhash.CELLS // (sketch.shape[1] * max(1, len(node))))
+    step = max(1, simhash.CELLS // (sketch.shape[1] * max(1, len(sketch))))
     for i in range(0, len(homes), step):
         rows = homes[i : i + step]
-        far = distance(sketch, rows, np.arange(len(node)))
+        far = distance(sketch, rows, np.arange(len(sketch)))
         close = (far <= radius) & (root[rows][:, None] != root[None, :])
         count = close.sum(1)
         x, y = np.nonzero(close & (count <= few)[:, None])
@@ -137,35 +148,43 @@ def candidates(node: np.ndarray, root: np.ndarray, sketch: np.ndarray, homes: np
             a.append(np.full(few, rows[k])), b.append(near[np.argsort(far[k, near], kind="stable")[:few]])
         more.append(rows[count > few])
     none = [np.zeros(0, np.int64)]
-    return node[np.concatenate(a or none)], node[np.concatenate(b or none)], node[np.concatenate(more or none)]
+    return np.concatenate(a or none), np.concatenate(b or none), np.concatenate(more or none)
 
 
-def spanning(node: np.ndarray, sketch: np.ndarray, homes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of the forest of least distances among home members (Prim's way), each tree's nearest member from elsewhere, and the members
+def spanning(sketch: np.ndarray, homes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the pairs of the forest of least distances among home members (Prim's way), each tree's nearest member from elsewhere, and the members
     that had other candidates."""
-    n, out = len(homes), RADII[sketch.shape[1] - 1] + 1
-    others = np.setdiff1d(np.arange(len(node)), homes, assume_unique=True)
-    best, parent, left = np.full(n, out, np.int16), np.full(n, -1), np.ones(n, bool)
-    a, b, many, trees = [], [], np.zeros(n, np.int64), []
-    for _ in range(n):
+    h, out = len(homes), RADII[sketch.shape[1] - 1] + 1
+    elsewhere = np.ones(len(sketch), bool)
+    elsewhere[homes] = False
+    many, outer, nearest = np.zeros(h, np.int64), np.full(h, out, np.int16), np.zeros(h, np.int64)
+    step = max(1, simhash.CELLS // (sketch.shape[1] * max(1, len(sketch))))
+    for i in range(0, h, step):
+        far = distance(sketch, homes[i : i + step], np.arange(len(sketch)))
+        many[i : i + step] = (far < out).sum(1) - 1
+        far[:, ~elsewhere] = out
+        nearest[i : i + step] = far.argmin(1)
+        outer[i : i + step] = far[np.arange(len(far)), nearest[i : i + step]]
+    # only members with a candidate take part, and these are few in most anchors
+    part = np.flatnonzero(many)
+    own = homes[part]
+    best, parent, left = np.full(len(own), out, np.int16), np.full(len(own), -1), np.ones(len(own), bool)
+    a, b, trees = [], [], []
+    for _ in range(len(own)):
         k = int(np.argmin(np.where(left, best, out + 1)))
         left[k] = False
         if best[k] < out:
-            a.append(k), b.append(homes[parent[k]])
+            a.append(int(own[k])), b.append(int(own[parent[k]]))
         else:
-            trees.append((out, k, -1))
-        far = distance(sketch, int(homes[k]), homes)
-        many[k] = (far < out).sum() - 1
+            trees.append((out, -1, -1))
+        trees[-1] = min(trees[-1], (int(outer[part[k]]), int(own[k]), int(nearest[part[k]])))
+        far = distance(sketch, int(own[k]), own)
         nearer = left & (far < best)
         best[nearer], parent[nearer] = far[nearer], k
-        if len(others):
-            far = distance(sketch, int(homes[k]), others)
-            many[k] += (far < out).sum()
-            trees[-1] = min(trees[-1], (int(far.min()), k, int(others[far.argmin()])))
     for least, k, other in trees:
         if least < out:
             a.append(k), b.append(other)
-    return node[homes[np.array(a, np.int64)]], node[np.array(b, np.int64)], node[homes[many > 1]]
+    return np.array(a, np.int64), np.array(b, np.int64), homes[many > 1]
 
 
 def proposals(nodes: DataFrame, few: int | None) -> DataFrame:
@@ -183,7 +202,11 @@ def proposals(nodes: DataFrame, few: int | None) -> DataFrame:
         node, root = node[order], root[order]
         sketch = sketches(table.column("sketch"), len(node))[order]
         homes = np.flatnonzero(table.column("own").to_numpy(zero_copy_only=False)[order])
-        mine, other, more = spanning(node, sketch, homes) if few is None else candidates(node, root, sketch, homes, few)
+        mine, other, more = spanning(sketch, homes) if few is None else candidates(root, sketch, homes, few)
+        if few is not None:
+            ok = first_met(sketch, mine, other, table.column("anchor")[0].as_py() >> 32)
+            mine, other = mine[ok], other[ok]
+        mine, other, more = node[mine], node[other], node[more]
         pairs = pa.table({"a": np.minimum(mine, other), "b": np.maximum(mine, other)})
         return pa.concat_tables([pairs, pa.table({"a": more, "b": pa.nulls(len(more), pa.int64())})])
 
@@ -222,24 +245,25 @@ def roots_of(docs: DataFrame, prints: DataFrame) -> DataFrame:
     """node, root: for every node that is similar to another the least node of its component."""
     # equal sets have equal sketches, so any row of a node will do
     nodes = cut(prints.groupBy("node").agg(*[F.min(c).alias(c) for c in _SKETCH]).select("node", F.array(*_SKETCH).alias("sketch")))
-    few, checked, edges, sets = None, None, None, None
+    few, checked, edges, sets, roots = None, None, None, None, None
     asking = nodes.withColumn("root", F.col("node"))
     while True:
-        told = cut(proposals(asking, few))
+        told = cut(packed(proposals(asking, few)))
         found = told.where("b IS NOT NULL")
         pairs = cut(found if checked is None else found.join(checked, ["a", "b"], "left_anti"))
         if sets is None or not pairs.isEmpty():
             met = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-            fresh = cut(sets_of(docs, prints, met if sets is None else met.join(sets, "node", "left_anti")))
-            sets = fresh if sets is None else sets.union(fresh)
-            new = similar(pairs, sets)
-            edges = cut(new if edges is None else edges.union(new))
+            more_sets = cut(packed(sets_of(docs, prints, met if sets is None else met.join(sets, "node", "left_anti"))))
+            sets = more_sets if sets is None else sets.union(more_sets)
+            new = cut(packed(similar(pairs, sets)))
+            if edges is None or not new.isEmpty():
+                edges = new if edges is None else edges.union(new)
+                roots = simhash.connected(edges)
         checked = pairs if checked is None else checked.union(pairs)
-        roots = simhash.connected(edges)
         more = cut(told.where("b IS NULL").select(F.col("a").alias("node")))
         if more.isEmpty():
             return roots
-        few = FEW if few is None else few * 8
+        few = FEW if few is None else few * GROW
         # a node that had no more has proposed all its candidates, so only those that had meet again; all of them were in a pair and have a set
         asking = cut(finer(sets.join(more, "node")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
 

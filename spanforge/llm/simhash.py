@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Stored, arrow_map, counted_join, cut, narrow, nested, removed, row_key, texts_of
+from .common import Stored, arrow_map, counted_join, cut, narrow, nested, packed, removed, row_key, texts_of
 
 THRESHOLD, SHINGLE, SEED = 4, 4, 42
 _LOW = (1 << 23) - 1
@@ -198,17 +198,17 @@ def links(distinct: DataFrame) -> DataFrame:
 
 def connected(edges: DataFrame) -> DataFrame:
     """node, root: for every node of the edges a, b the smallest node it can reach (large and small stars in turn)."""
-    now = Stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "stars")
+    now = Stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().transform(packed), "stars")
     before = None
     while True:
         # large star: every larger neighbour is linked to the least one; hubs are dealt over partitions
         both = now.table.union(now.table.select("b", "a"))
-        least = cut(both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n"))
-        large = cut(counted_join(both, least, ["a"]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
+        least = cut(packed(both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")))
+        large = cut(packed(counted_join(both, least, ["a"]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()))
         # small star: a node and its smaller neighbours are linked to the least one
-        low = cut(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")))
+        low = cut(packed(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))))
         near = counted_join(large, low, ["a"])
-        now = now.replaced(near.select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), "stars")
+        now = now.replaced(packed(near.select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct()), "stars")
         state = now.table.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             roots = cut(now.table.select(F.col("a").alias("node"), F.col("b").alias("root")))
