@@ -8,8 +8,10 @@ of LEAST percent or more.
 
 At first an anchor's home members propose the spanning forest of least distances among them, and each of its trees its nearest candidate from
 elsewhere: one proposal a member at most, and most links of a large group of near copies are among them.  After that, members that had
-other candidates propose their nearest ones of other components, FEW of them, and GROW times as many in each further round,
-until none had more: no candidate is left out, and a group of n near copies costs a multiple of n proposals rather than n * n.
+other candidates meet those again and propose their nearest ones of other components, FEW of them, and GROW times as many in each further round,
+until none had more: no candidate is left out.  A pair that has met at its home member's anchor of an earlier block is not proposed again: there it was
+proposed, or that member asks for more.  Links of a group of n near copies cost a multiple of n proposals; pairs of it that are just under
+LEAST percent have to be told apart by their sets, and how many those are depends on the texts.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ WORDS, BLOCKS = 4, 11
 #: Words of bits at first and in later rounds, and how many bits a candidate may differ in: 3.4 standard deviations beyond what 0.8 makes.
 FINE, RADII = 32, {4: 58, 32: 365}
 FEW, GROW = 16, 16
+#: Nearest candidates of a member among which two are sought that make another member ask by itself.
+SEEN = 8
 #: Members of an anchor that one task compares at home.
 PART = 20_000
 _SKETCH = [*(f"w{k}" for k in range(WORDS)), "size"]
@@ -90,26 +94,32 @@ def blocks_of(sketch: np.ndarray) -> np.ndarray:
     return flat.astype(np.int64) @ (1 << np.arange(23))
 
 
-def first_met(sketch: np.ndarray, mine: np.ndarray, other: np.ndarray, block: int) -> np.ndarray:
-    """Whether the pairs are not bound to meet at an anchor of an earlier block, where they are proposed then."""
-    values = blocks_of(sketch)[:, :block]
-    return ~(np.bitwise_count(values[mine] ^ values[other]) <= 1).any(1)
+def met(values: np.ndarray, mine: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """By block: whether others, of any shape that broadcasts with mine, are sent to the anchor where mine is at home."""
+    own = values[mine]
+    home = own ^ simhash.NEAR[simhash.syndrome(own.ravel())].reshape(own.shape)
+    return np.bitwise_count(home ^ values[others]) <= 4
+
+
+def asks(values: np.ndarray, rows: np.ndarray, near: np.ndarray, ok: np.ndarray) -> np.ndarray:
+    """Whether members meet two of near (where ok), their candidates, at their home anchor of one of the blocks of values, and so ask for more there."""
+    return ((met(values, rows[:, None], near) & ok[..., None]).sum(1) > 1).any(1)
 
 
 def cover(nodes: DataFrame) -> DataFrame:
-    """anchor, node, root, sketch, home: each node at every anchor it has to be compared at."""
+    """anchor, node, root, sketch, home: each node at every anchor it has to be compared at; home only for those that ask."""
 
     def over(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            blocks = blocks_of(sketches(batch.column("sketch"), batch.num_rows))
+            blocks, asking = blocks_of(sketches(batch.column("sketch"), batch.num_rows)), batch.column("asks").to_numpy(zero_copy_only=False)
             for k in range(BLOCKS):
                 row, anchor, home = simhash.anchors(blocks[:, k])
                 at = pa.array(row)
-                yield pa.record_batch({"anchor": pa.array(anchor + (k << 32)), **{c: batch.column(c).take(at) for c in ("node", "root", "sketch")}, "home": pa.array(home)})
+                yield pa.record_batch({"anchor": pa.array(anchor + (k << 32)), **{c: batch.column(c).take(at) for c in ("node", "root", "sketch")}, "home": pa.array(home & asking[row])})
 
-    return nodes.select("node", "root", "sketch").mapInArrow(over, "anchor bigint, node bigint, root bigint, sketch array<bigint>, home boolean")
+    return nodes.select("node", "root", "sketch", "asks").mapInArrow(over, "anchor bigint, node bigint, root bigint, sketch array<bigint>, home boolean")
 
 
 def finer(sets: DataFrame) -> DataFrame:
@@ -122,15 +132,18 @@ def finer(sets: DataFrame) -> DataFrame:
     return arrow_map(sets, over, "node bigint, sketch array<bigint>")
 
 
-def distance(sketch: np.ndarray, rows: np.ndarray | int, others: np.ndarray) -> np.ndarray:
-    """Differing bits of rows and others; one more than allowed where that is too many or the sizes differ too much."""
-    x, y = (sketch[rows][:, None], sketch[others][None]) if isinstance(rows, np.ndarray) else (sketch[rows], sketch[others])
-    words = sketch.shape[1] - 1
+def apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Differing bits of sketches; one more than allowed where that is too many or the sizes differ too much."""
+    words = x.shape[-1] - 1
     far = np.bitwise_count(x[..., :words] ^ y[..., :words]).sum(-1, dtype=np.int16)
     m, n = x[..., words].astype(np.int64), y[..., words].astype(np.int64)
     return np.where((far <= RADII[words]) & (100 * np.minimum(m, n) >= LEAST * np.maximum(m, n)), far, RADII[words] + 1)
 
 
+def distance(sketch: np.ndarray, rows: np.ndarray | int, others: np.ndarray) -> np.ndarray:
+    return apart(sketch[rows][:, None], sketch[others][None]) if isinstance(rows, np.ndarray) else apart(sketch[rows], sketch[others])
+
+
 def candidates(root: np.ndarray, sketch: np.ndarray, homes: np.ndarray, few: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of a home member and one of its nearest candidates in other components, and of the members that had more."""
     a, b, more = [], [], []
@@ -151,17 +164,31 @@ def candidates(root: np.ndarray, sketch: np.ndarray, homes: np.ndarray, few: int
     return np.concatenate(a or none), np.concatenate(b or none), np.concatenate(more or none)
 
 
-def spanning(sketch: np.ndarray, homes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def spanning(sketch: np.ndarray, homes: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of the pairs of the forest of least distances among home members (Prim's way), each tree's nearest member from elsewhere, and the members
-    that had other candidates."""
+    that have to meet again: home members with other candidates and these candidates, but for those that are known to ask elsewhere."""
     h, out = len(homes), RADII[sketch.shape[1] - 1] + 1
     elsewhere = np.ones(len(sketch), bool)
     elsewhere[homes] = False
-    many, outer, nearest = np.zeros(h, np.int64), np.full(h, out, np.int16), np.zeros(h, np.int64)
-    step = max(1, simhash.CELLS // (sketch.shape[1] * max(1, len(sketch))))
+    many, outer, nearest, again, values = np.zeros(h, np.int64), np.full(h, out, np.int16), np.zeros(h, np.int64), [np.zeros(0, np.int64)], None
+    step, seen = max(1, simhash.CELLS // (sketch.shape[1] * max(1, len(sketch)))), min(SEEN, len(sketch))
     for i in range(0, h, step):
-        far = distance(sketch, homes[i : i + step], np.arange(len(sketch)))
-        many[i : i + step] = (far < out).sum(1) - 1
+        rows = homes[i : i + step]
+        far = distance(sketch, rows, np.arange(len(sketch)))
+        far[np.arange(len(rows)), rows] = out
+        many[i : i + step] = (far < out).sum(1)
+        two = np.flatnonzero(many[i : i + step] > 1)
+        if len(two):
+            values = blocks_of(sketch) if values is None else values
+            own, reach = rows[two], far[two]
+            near = np.argpartition(reach, seen - 1, axis=1)[:, :seen]
+            again.append(own[~asks(values[:, :block], own, near, np.take_along_axis(reach, near, 1) < out)])
+            met_here = np.flatnonzero(elsewhere & (reach < out).any(0))
+            by = reach[:, met_here].argmin(0)
+            others = np.where(near[by] == own[by][:, None], met_here[:, None], near[by])
+            others = np.concatenate([others, own[by][:, None]], axis=1)
+            ok = (others != met_here[:, None]) & (apart(sketch[met_here][:, None], sketch[others]) < out)
+            again.append(met_here[~asks(values, met_here, others, ok)])
         far[:, ~elsewhere] = out
         nearest[i : i + step] = far.argmin(1)
         outer[i : i + step] = far[np.arange(len(far)), nearest[i : i + step]]
@@ -184,7 +211,7 @@ def spanning(sketch: np.ndarray, homes: np.ndarray) -> tuple[np.ndarray, np.ndar
     for least, k, other in trees:
         if least < out:
             a.append(k), b.append(other)
-    return np.array(a, np.int64), np.array(b, np.int64), homes[many > 1]
+    return np.array(a, np.int64), np.array(b, np.int64), np.unique(np.concatenate(again))
 
 
 def proposals(nodes: DataFrame, few: int | None) -> DataFrame:
@@ -202,12 +229,15 @@ def proposals(nodes: DataFrame, few: int | None) -> DataFrame:
         node, root = node[order], root[order]
         sketch = sketches(table.column("sketch"), len(node))[order]
         homes = np.flatnonzero(table.column("own").to_numpy(zero_copy_only=False)[order])
-        mine, other, more = spanning(sketch, homes) if few is None else candidates(root, sketch, homes, few)
-        if few is not None:
-            ok = first_met(sketch, mine, other, table.column("anchor")[0].as_py() >> 32)
-            mine, other = mine[ok], other[ok]
-        mine, other, more = node[mine], node[other], node[more]
-        pairs = pa.table({"a": np.minimum(mine, other), "b": np.maximum(mine, other)})
+        block = table.column("anchor")[0].as_py() >> 32
+        mine, other, more = spanning(sketch, homes, block) if few is None else candidates(root, sketch, homes, few)
+        if block and len(mine):
+            new = ~met(blocks_of(sketch)[:, :block], mine, other).any(1)
+            mine, other = mine[new], other[new]
+        # nodes are in order of their places; two home members may have proposed each other
+        low, high = np.divmod(np.unique(np.minimum(mine, other) * len(node) + np.maximum(mine, other)), max(1, len(node)))
+        more = node[more]
+        pairs = pa.table({"a": node[low], "b": node[high]})
         return pa.concat_tables([pairs, pa.table({"a": more, "b": pa.nulls(len(more), pa.int64())})])
 
     # a node asks for more once, however many anchors it has more at
@@ -245,16 +275,17 @@ def roots_of(docs: DataFrame, prints: DataFrame) -> DataFrame:
     """node, root: for every node that is similar to another the least node of its component."""
     # equal sets have equal sketches, so any row of a node will do
     nodes = cut(prints.groupBy("node").agg(*[F.min(c).alias(c) for c in _SKETCH]).select("node", F.array(*_SKETCH).alias("sketch")))
-    few, checked, edges, sets, roots = None, None, None, None, None
-    asking = nodes.withColumn("root", F.col("node"))
+    few, checked, edges, sets, roots, fine = None, None, None, None, None, None
+    asking = nodes.withColumns({"root": F.col("node"), "asks": F.lit(True)})
     while True:
         told = cut(packed(proposals(asking, few)))
         found = told.where("b IS NOT NULL")
         pairs = cut(found if checked is None else found.join(checked, ["a", "b"], "left_anti"))
-        if sets is None or not pairs.isEmpty():
-            met = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-            more_sets = cut(packed(sets_of(docs, prints, met if sets is None else met.join(sets, "node", "left_anti"))))
-            sets = more_sets if sets is None else sets.union(more_sets)
+        if sets is None:
+            # all that meet again are told of here, in pairs or alone
+            named = told.select(F.explode(F.array("a", "b")).alias("node")).where("node IS NOT NULL").distinct()
+            sets = cut(packed(sets_of(docs, prints, named)))
+        if edges is None or not pairs.isEmpty():
             new = cut(packed(similar(pairs, sets)))
             if edges is None or not new.isEmpty():
                 edges = new if edges is None else edges.union(new)
@@ -264,8 +295,10 @@ def roots_of(docs: DataFrame, prints: DataFrame) -> DataFrame:
         if more.isEmpty():
             return roots
         few = FEW if few is None else few * GROW
-        # a node that had no more has proposed all its candidates, so only those that had meet again; all of them were in a pair and have a set
-        asking = cut(finer(sets.join(more, "node")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+        # those that had no more have proposed all candidates that they met at home, but may be candidates of those that had
+        fine = cut(finer(sets.join(more, "node"))) if fine is None else fine
+        rooted = fine.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        asking = cut(rooted.join(more.withColumn("asks", F.lit(True)), "node", "left").withColumn("asks", F.coalesce("asks", F.lit(False))))
 
 
 def keep(docs: DataFrame) -> DataFrame:
