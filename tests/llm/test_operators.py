@@ -660,6 +660,29 @@ def test_near_copies_between_080_and_095(spark, monkeypatch, few):
     assert near_copies.keep(odd).columns == odd.columns and near_copies.keep(odd).count() == 0
 
 
+def test_met_candidates_are_proposed_or_meet_again(spark):
+    rng = np.random.default_rng(5)
+    bits = np.concatenate([rng.random((1, 256)).repeat(n, 0) < 0.5 for n in (1, 2, 3, 5, 8, 13, 40)] * 3)
+    bits ^= rng.random(bits.shape) < rng.choice([0.02, 0.05, 0.1, 0.13], (len(bits), 1))
+    words = np.packbits(bits, axis=1).view(">u8").astype(np.uint64)
+    sketch = np.concatenate([words, np.full((len(words), 1), 200, np.uint64)], axis=1)
+    rows = [(i, i, row, True) for i, row in enumerate(sketch.view(np.int64).tolist())]
+    told = [(r.a, r.b) for r in near_copies.proposals(spark.createDataFrame(rows, "node bigint, root bigint, sketch array<bigint>, asks boolean"), None).collect()]
+    pairs, again = {t for t in told if t[1] is not None}, {a for a, b in told if b is None}
+    assert len(pairs) < 3 * len(rows)
+
+    seen = set()
+    for values in near_copies.blocks_of(sketch).T:
+        row, anchor, home = simhash.anchors(values)
+        owners = collections.defaultdict(list)
+        for x, at in zip(row[home].tolist(), anchor[home].tolist(), strict=True):
+            owners[at].append(x)
+        seen |= {(x, y) for y, at in zip(row.tolist(), anchor.tolist(), strict=True) for x in owners[at] if x != y}
+    close = {(x, y) for x, y in seen if (bits[x] != bits[y]).sum() <= near_copies.RADII[near_copies.WORDS]}
+    assert len(close) > 2000
+    assert [p for p in close if (min(p), max(p)) not in pairs and not set(p) <= again] == []
+
+
 def test_toxicity_scores_against_the_definition():
     rng = np.random.default_rng(0)
     model = toxicity.Model(rng.normal(size=toxicity.BUCKETS), -0.3)
