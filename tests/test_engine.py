@@ -3,6 +3,8 @@
 import io
 import json
 import math
+import re
+import time
 import wave
 
 import numpy as np
@@ -385,6 +387,28 @@ def test_repeated_keys_in_documents(spark):
     assert [list(json.loads(d).values()).pop(0)["timecodes_seconds"] for d in docs] == [[2.0], [3.0]]
 
 
+def many_uris(n):
+    """A URI document with repeated keys, ids given twice and entries that are no objects, as text, and its map by the reference's rules."""
+    key = lambda i: f"u/lov{i % (n - 50)}rp1"
+    value = lambda i: 3 if i % 97 == 0 else {"s3_uri": f"s3://b/RW{i // 6}rp2.mp4"} if i % 3 == 0 else {}
+    pairs = [(key(i), value(i)) for i in range(n)]
+    want = {}
+    for uri, item in dict(pairs).items():
+        if isinstance(item, dict):
+            name = re.search(r"(?i)(?:LOV|RW)\d+RP\d+", item.get("s3_uri") or uri).group().upper()
+            want["LOV" + name.removeprefix("RW").removeprefix("LOV")] = uri
+    return "{" + ",".join(f"{json.dumps(k)}:{json.dumps(v)}" for k, v in pairs) + "}", want
+
+
+def test_time_of_a_uri_document_is_not_that_of_its_square(spark):
+    document, want = many_uris(8000)
+    began = time.perf_counter()
+    got = {r.media_id: r.uri for r in documents.uri_map(spark.createDataFrame([(document,)], "document string")).collect()}
+    took = time.perf_counter() - began
+    assert got == want
+    assert took < 20
+
+
 def test_two_videos_of_one_name_are_scored_once(spark):
     given = inputs(spark)
     v = videos(spark, ("a", "same.mp4", 20.0, 25.0), ("b", "same.mp4", 10.0, 25.0))
