@@ -9,6 +9,6 @@ TRANSCRIPT_JSON = (
     " audio_segments: array<struct<start_time: string, end_time: string>>>"
 )
 SHOT_ENTRY = "timecode array<string>, timecodes_seconds array<double>"
-TRUTH_JSON = "map<string, array<struct<soundbite_start: string, soundbite_end: string>>>"
+TRUTH_ENTRY = "soundbite_start string, soundbite_end string"
 SEGMENTS = "video_id string, segment_index int, segment_start double, segment_end double"
 FEATURES = ", ".join(["video_name string", "segment_index int", "segment_start double", "segment_end double", *(f"{c} double" for c in C.FEATURE_COLUMNS), f"{C.LABEL} int"])

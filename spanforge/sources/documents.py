@@ -89,9 +89,15 @@ def last_wins(entries: DataFrame, key: str, value: str, place: str) -> DataFrame
 
 
 def ground_truth(documents: DataFrame) -> DataFrame:
-    """uri, gt_start, gt_end of every entry whose two ends are numbers."""
-    lists = documents.select(F.explode(F.from_json("document", S.TRUTH_JSON)).alias("uri", "ranges")).select("uri", F.explode("ranges").alias("r"))
-    ends = lists.select("uri", F.col("r.soundbite_start").try_cast("double").alias("gt_start"), F.col("r.soundbite_end").try_cast("double").alias("gt_end"))
+    """uri, gt_start, gt_end of every entry whose two ends are numbers; other entries are skipped, and a repeated URI has its last list.
+
+    The lists are dealt out by URI and parsed there, entry by entry.
+    """
+    lists = documents.select(F.explode(entries(F.col("document"))).alias("e")).select(F.col("e.key").alias("uri"), F.col("e.value").alias("ranges"))
+    dealt = lists.where(F.ltrim("ranges").startswith("[")).repartition("uri")
+    each = dealt.select("uri", F.explode(F.from_json("ranges", "array<string>")).alias("r")).where(F.ltrim("r").startswith("{"))
+    read = each.select("uri", F.from_json("r", S.TRUTH_ENTRY).alias("r"))
+    ends = read.select("uri", F.col("r.soundbite_start").try_cast("double").alias("gt_start"), F.col("r.soundbite_end").try_cast("double").alias("gt_end"))
     return ends.where("gt_start is not null and gt_end is not null")
 
 

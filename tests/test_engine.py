@@ -409,6 +409,26 @@ def test_time_of_a_uri_document_is_not_that_of_its_square(spark):
     assert took < 20
 
 
+def test_truth_of_many_uris(spark):
+    document, uris = many_uris(8000)
+    truth = json.dumps({u: [{"soundbite_start": i, "soundbite_end": i + 0.5}, {"soundbite_end": 1}] for i, u in enumerate(uris.values())})
+    v = spark.createDataFrame([(k, f"clip_{k.lower()}.mp4") for k in uris], "video_id string, video_name string")
+    text = lambda t: spark.createDataFrame([(t,)], "document string")
+    began = time.perf_counter()
+    got = sorted(map(tuple, documents.truth_of(v, documents.uri_map(text(document)), documents.ground_truth(text(truth))).collect()))
+    took = time.perf_counter() - began
+    assert got == sorted((k, i, i + 0.5) for i, k in enumerate(uris))
+    assert took < 20
+
+
+def test_malformed_truth_loses_no_other(spark):
+    """By the reference an entry that cannot be read is skipped alone, and a repeated URI has its last list."""
+    good = '{"soundbite_start":5,"soundbite_end":"6"}'
+    text = f'{{"a":[3,"x",[1],null,{good}],"b":3,"c":{good},"d":[{good}],"d":[{{"soundbite_start":[1],"soundbite_end":6}},{{"soundbite_start":7,"soundbite_end":1e3}}],"e":null}}'
+    got = documents.ground_truth(spark.createDataFrame([(text,), ("[]",), (None,)], "document string")).collect()
+    assert sorted(map(tuple, got)) == [("a", 5.0, 6.0), ("d", 7.0, 1000.0)]
+
+
 def test_two_videos_of_one_name_are_scored_once(spark):
     given = inputs(spark)
     v = videos(spark, ("a", "same.mp4", 20.0, 25.0), ("b", "same.mp4", 10.0, 25.0))
